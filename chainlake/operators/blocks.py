@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from ..functions.keys import (
     content_key,
@@ -100,9 +100,14 @@ def pack_payload(
     Spark has no built-in for this codec, so Arrow batches pass through one
     codec per task. A record that cannot be packed fails the job.
     """
-    schema = StructType(df.schema.fields)
-    schema = schema.add("packed", BinaryType())
-    schema = schema.add("raw_size", LongType()).add("packed_size", LongType())
+    schema = StructType(
+        [
+            *df.schema.fields,
+            StructField("packed", BinaryType()),
+            StructField("raw_size", LongType()),
+            StructField("packed_size", LongType()),
+        ]
+    )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = pa.Codec(codec, compression_level=level).compress

@@ -45,10 +45,18 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
 
+def stream_path(sf_dir: str, name: str) -> str:
+    """Path of a test table for a stream.
+
+    A stream wants a folder or a pattern; the pattern also fits a single file.
+    """
+    return f"{sf_dir}/{name}.parque[t]"
+
+
 def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table as a stream."""
     schema = views.table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.readStream.schema(schema).parquet(stream_path(sf_dir, name))
 
 
 # --- Sources ----------------------------------------------------------------
@@ -114,7 +122,7 @@ def backlog_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "followed")
     sources.snapshot_then_follow(
         spark,
-        f"{sf_dir}/events.parquet",
+        stream_path(sf_dir, "events"),
         views.table(spark, sf_dir, "events").schema,
         lambda batch, number: sinks.append_batch(batch, out, number),
         scratch_dir(spark, "checkpoint"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def read_archives(
@@ -22,8 +22,8 @@ def read_archives(
     listed or opened. A DataFrame with an ``archive_id`` column does the same
     for lists too long for a query, through dynamic partition pruning.
     """
-    full = StructType([f for f in schema.fields if f.name != "archive_id"])
-    full = full.add("archive_id", LongType())
+    content = [field for field in schema.fields if field.name != "archive_id"]
+    full = StructType([*content, StructField("archive_id", LongType())])
     reader = spark.readStream if stream else spark.read
     archives = reader.schema(full).parquet(path)
     if ids is None:
