@@ -21,3 +21,8 @@ def ordering(names: str | Sequence[str]) -> Column:
     """
     names = columns(names)
     return F.col(names[0]) if len(names) == 1 else F.struct(*names)
+
+
+def whole(dividend: Column, divisor: Column) -> Column:
+    """Integer division; exact for longs, where ``/`` would go through doubles."""
+    return F.call_function("div", dividend, divisor)

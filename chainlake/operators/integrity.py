@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tags import EMPTY_ETAG, etag_matches, quoted_etag
-from .common import columns
+from .common import columns, whole
 
 #: Part digests joined in the first step of the composite tag.
 DIGEST_FAN_IN = 1024
@@ -37,7 +37,7 @@ def composite_etag(
     objects that have no parts; their tag is the MD5 of nothing.
     """
     key = columns(key)
-    runs = digests.groupBy(*key, F.floor(F.col("part_no") / fan_in).alias("_run")).agg(
+    runs = digests.groupBy(*key, whole(F.col("part_no"), F.lit(fan_in)).alias("_run")).agg(
         F.expr("listagg(md5, '') WITHIN GROUP (ORDER BY part_no)").alias("_hex"),
         F.count(F.lit(1)).alias("parts"),
         F.sum("length").alias("size"),

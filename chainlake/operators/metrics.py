@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import bucket_start, seconds_of
-from .common import columns, ordering
+from .common import columns, ordering, whole
 
 # Fixed values.
 ACCEPTED_QUANTILES = ("0", "0.5", "0.9", "0.95", "0.99", "0.999", "1")
@@ -106,7 +106,7 @@ def series_increase(
     micros = seconds_of(bucket) * 1_000_000
     epoch = F.unix_micros("ts")
     start = bucket_start("ts", bucket)
-    slot = F.floor((epoch - start * 1_000_000) * slots / micros)
+    slot = whole((epoch - start * 1_000_000) * slots, F.lit(micros))
     by_time = ["ts", tie] if tie else ["ts"]
     in_slot = Window.partitionBy(*series, "bucket", "_slot").orderBy(*by_time)
     pieces = (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns
+from .common import columns, whole
 
 #: Chunks that share one window group. It bounds the group of a huge object.
 OFFSET_SPAN = 4096
@@ -16,7 +16,7 @@ OFFSET_SPAN = 4096
 def cut(data: Column, size: int) -> Column:
     """Array of consecutive slices of ``size`` bytes, the last one shorter."""
     length = F.octet_length(data)
-    starts = F.when(length > 0, F.sequence(F.lit(0), F.floor((length - 1) / size).cast("int")))
+    starts = F.when(length > 0, F.sequence(F.lit(0), whole(length - 1, F.lit(size)).cast("int")))
     return F.transform(
         F.coalesce(starts, F.array().cast("array<int>")),
         lambda i: F.substring(data, i * F.lit(size) + 1, F.lit(size)),
@@ -35,11 +35,13 @@ def chunk_offsets(
     """
     key = columns(key)
     length = F.col("length") if "length" in chunks.columns else F.octet_length("data")
+    # A span that is never null keeps the optimizer from adding a filter to one
+    # of the two readers only, which would stop them from sharing the shuffle.
     meta = chunks.select(
         *key,
         "chunk_no",
         length.cast("long").alias("length"),
-        F.floor(F.col("chunk_no") / span).alias("_span"),
+        F.coalesce(whole(F.col("chunk_no"), F.lit(span)), F.lit(0)).alias("_span"),
     ).repartition(*key, "_span")
 
     before = Window.rowsBetween  # frames end before the current row
@@ -95,11 +97,13 @@ def rechunk(
             F.substring("data", (start + 1).cast("int"), (stop - start).cast("int")).alias("_slice"),
         )
 
-    first = F.floor(F.col("offset") / size)
-    last = F.floor((F.col("offset") + length - 1) / size)
+    first = whole(F.col("offset"), size)
+    last = whole(F.col("offset") + length - 1, size)
     return (
         located.filter(length > 0)
         .select(*key, F.inline(F.transform(F.sequence(first, last), slice_of)))
+        # Spread by part even where the rows already lie together by object.
+        .repartition(*key, "part_no")
         .groupBy(*key, "part_no")
         .agg(F.expr("listagg(_slice) WITHIN GROUP (ORDER BY _at)").alias("data"))
     )

@@ -1,5 +1,9 @@
 """Schemas of the tables the operators exchange."""
 
+from __future__ import annotations
+
+from collections.abc import Sequence
+
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
@@ -20,22 +24,33 @@ TRANSACTION = StructType(
     ]
 )
 
-# An array of pairs and not a map: it keeps the order and repeated keys.
-ACCOUNT_BLOCK = StructType(
-    [
-        StructField("addr", BinaryType()),
-        StructField("transactions", ArrayType(TRANSACTION)),
-    ]
-)
 
-BLOCK = StructType(
-    [
-        StructField("workchain", IntegerType()),
-        StructField("shard", LongType()),
-        StructField("seqno", LongType()),
-        StructField("account_blocks", ArrayType(ACCOUNT_BLOCK)),
-    ]
-)
+def block_schema(transaction_fields: Sequence[str] | None = None) -> StructType:
+    """Schema of a block, with all or only the named transaction fields.
+
+    The account blocks are an array of pairs and not a map: an array keeps the
+    order and repeated keys.
+    """
+    fields = TRANSACTION.fields
+    if transaction_fields is not None:
+        fields = [TRANSACTION[name] for name in transaction_fields]
+    account_block = StructType(
+        [
+            StructField("addr", BinaryType()),
+            StructField("transactions", ArrayType(StructType(fields))),
+        ]
+    )
+    return StructType(
+        [
+            StructField("workchain", IntegerType()),
+            StructField("shard", LongType()),
+            StructField("seqno", LongType()),
+            StructField("account_blocks", ArrayType(account_block)),
+        ]
+    )
+
+
+BLOCK = block_schema()
 
 CHUNK = StructType(
     [

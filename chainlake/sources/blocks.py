@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import BLOCK
+from ..schemas import block_schema
 
 
 def read_blocks(
@@ -12,16 +14,19 @@ def read_blocks(
     path: str,
     stream: bool = False,
     max_files_per_trigger: int | None = None,
+    transaction_fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """Blocks stored under ``path``, one row per block.
 
-    The schema is given and never inferred, so a query reads only the nested
-    fields it uses. As a stream, progress lives in the query's checkpoint and
-    ``max_files_per_trigger`` bounds a micro-batch.
+    The schema is given and never inferred. Field pruning does not reach through
+    two levels of arrays, so name the ``transaction_fields`` a query needs to
+    leave the others on disk. As a stream, progress lives in the query's
+    checkpoint and ``max_files_per_trigger`` bounds a micro-batch.
     """
+    schema = block_schema(transaction_fields)
     if not stream:
-        return spark.read.schema(BLOCK).parquet(path)
-    reader = spark.readStream.schema(BLOCK)
+        return spark.read.schema(schema).parquet(path)
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
