@@ -35,17 +35,30 @@ def workchain() -> Column:
     return F.when(F.col("o_orderstatus") == "F", F.lit(-1)).otherwise(F.lit(0))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line: ``seqno, addr, lt, now, payload``."""
+def address(part: Column | str) -> Column:
+    """32-byte account address of a part."""
+    part = F.col(part) if isinstance(part, str) else part
+    return F.unhex(F.sha2(part.cast("string").cast("binary"), 256))
+
+
+def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line: ``seqno, part, lt, now, payload``."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("seqno"),
-        F.unhex(F.sha2(F.col("l_partkey").cast("string").cast("binary"), 256)).alias("addr"),
+        F.col("l_partkey").alias("part"),
         F.col("l_linenumber").cast("long").alias("lt"),
         F.unix_seconds(utc_timestamp("l_shipdate")).alias("now"),
         payload().alias("payload"),
     )
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line: ``seqno, addr, lt, now, payload``."""
+    return part_lines(spark, sf_dir).select(
+        "seqno", address("part").alias("addr"), "lt", "now", "payload"
+    )
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat transactions, without going through nested blocks."""
     orders = table(spark, sf_dir, "orders").select(
@@ -62,7 +75,9 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     The number that spreads the lines is taken right at the scan, where a
     repeated task sees the same rows in the same order.
     """
-    numbered = lines(spark, sf_dir).withColumn("_n", F.monotonically_increasing_id())
+    numbered = part_lines(spark, sf_dir).withColumn(
+        "_n", F.monotonically_increasing_id()
+    )
     heights = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("seqno"))
@@ -80,8 +95,9 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         numbered.join(orders, "seqno")
         .withColumn("shard", F.pmod("_n", "_shards").cast("long"))
         .repartition(*block)
-        .groupBy(*block, "addr")
+        .groupBy(*block, "part")
         .agg(F.collect_list(F.struct("lt", "now", "payload")).alias("transactions"))
+        .withColumn("addr", address("part"))
         .groupBy(*block)
         .agg(F.collect_list(F.struct("addr", "transactions")).alias("account_blocks"))
     )
