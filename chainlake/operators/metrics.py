@@ -419,6 +419,10 @@ def count_rate(
 #: Sketch accuracy of the bracket in the exact quantile.
 SKETCH_ACCURACY = 10_000
 
+#: Cells the bracket is cut into, and copies of a group's facts in a join.
+CELLS = 1024
+SALTS = 8
+
 
 def quantile(
     df: DataFrame,
@@ -430,11 +434,15 @@ def quantile(
     """``by…, value``: a quantile per group, interpolated between neighbours.
 
     ``q`` is one of :data:`ACCEPTED_QUANTILES`. ``exact=False`` returns the value
-    of a mergeable sketch instead. The exact form never brings a whole group
-    together: a sketch brackets the wanted rank, the rows below and inside the
-    bracket are counted, and only those inside go on, folded by equal value. A
-    bad bracket costs time but never changes the result, as the counts tell on
-    which side the rank lies.
+    of a mergeable sketch instead.
+
+    The exact form never brings a whole group together. A sketch brackets the
+    wanted rank and the bracket is cut into cells; counting rows per cell tells
+    the cell of the rank, and only the rows of that cell go on, folded by equal
+    value. A bad bracket costs time but cannot change the result, as the cells
+    cover all values. The counts are partial aggregates; the joins are salted, so
+    that a group too large for one task can be split where its facts are too many
+    to be broadcast.
     """
     if q not in ACCEPTED_QUANTILES:
         raise ValueError(f"quantile must be one of {', '.join(ACCEPTED_QUANTILES)}")
@@ -447,76 +455,70 @@ def quantile(
     return _exact_quantile(rows, share, by, accuracy)
 
 
+def _cell() -> Column:
+    """Cell of a value: 0 below the bracket, then its cells, then all above."""
+    low, high, value = F.col("_low"), F.col("_high"), F.col("value")
+    inner = F.floor(F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0)) * CELLS)
+    return (
+        F.when(value < low, F.lit(0))
+        .when(value > high, F.lit(CELLS + 1))
+        .otherwise(F.least(inner, F.lit(CELLS - 1)).cast("int") + 1)
+    )
+
+
 def _exact_quantile(
     rows: DataFrame, share: float, by: list[str], accuracy: int
 ) -> DataFrame:
-    # Without labels every row gets the same key. It is not written as a literal,
-    # because a folded key would turn the joins below into nested loops.
-    groups = by or ["_all"]
-    if not by:
-        rows = rows.withColumn("_all", F.hash("value").bitwiseAND(0))
+    salted = rows.withColumn("_salt", F.pmod(F.hash("value"), F.lit(SALTS)))
+
+    def with_facts(facts: DataFrame) -> DataFrame:
+        copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return salted.join(copies, [*by, "_salt"])
+
     margin = 2.0 / accuracy
     ends = [max(share - margin, 0.0), min(share + margin, 1.0)]
     bracket = (
-        rows.groupBy(*groups)
+        rows.groupBy(*by)
         .agg(F.percentile_approx("value", ends, accuracy).alias("_ends"))
-        .select(*groups, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
+        .select(*by, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
     )
-    # Zone 0 lies below the bracket, 1 inside, 2 above.
-    zone = F.when(F.col("value") < F.col("_low"), 0).when(
-        F.col("value") <= F.col("_high"), 1
-    ).otherwise(2)
-    counts = (
-        rows.join(bracket, groups)
-        .groupBy(*groups, "_low", "_high")
+    group = Window.partitionBy(*by)
+    up_to = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lower, upper = F.floor("_place"), F.ceil("_place")
+    begin = F.col("_end") - F.col("_count")
+
+    def holds(rank: Column) -> Column:
+        return (begin <= rank) & (rank < F.col("_end"))
+
+    # At most CELLS + 2 counts per group, one or two of which hold the ranks.
+    wanted = (
+        with_facts(bracket)
+        .groupBy(*by, "_low", "_high", _cell().alias("_cell"))
+        .agg(F.count(F.lit(1)).alias("_count"))
+        .withColumn("_end", F.sum("_count").over(up_to.orderBy("_cell")))
+        .withColumn("_place", F.lit(share) * (F.sum("_count").over(group) - 1))
+        .filter(holds(lower) | holds(upper))
+        .groupBy(*by, "_low", "_high", "_place")
         .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.count_if(zone == 0).alias("_below"),
-            F.count_if(zone <= 1).alias("_through"),
+            F.min("_cell").alias("_from"),
+            F.max("_cell").alias("_to"),
+            F.min(begin).alias("_base"),
         )
     )
-
-    def zone_of(rank: Column) -> Column:
-        return F.when(rank < F.col("_below"), 0).when(
-            rank < F.col("_through"), 1
-        ).otherwise(2)
-
-    place = F.lit(share) * (F.col("_n") - 1)
-    lower, upper = F.floor(place), F.ceil(place)
-    wanted = counts.select(
-        *groups,
-        "_low",
-        "_high",
-        lower.alias("_lower"),
-        upper.alias("_upper"),
-        (place - lower).alias("_weight"),
-        zone_of(lower).alias("_from"),
-        zone_of(upper).alias("_to"),
-        F.when(zone_of(lower) == 0, F.lit(0).cast("long"))
-        .when(zone_of(lower) == 1, F.col("_below"))
-        .otherwise(F.col("_through"))
-        .alias("_base"),
-    )
-    facts = ["_lower", "_upper", "_weight", "_base"]
-    inside = (
-        rows.join(wanted, groups)
-        .filter(zone.between(F.col("_from"), F.col("_to")))
-        .groupBy(*groups, "value", *facts)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-    up_to = Window.partitionBy(*groups).orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    ranked = (
+        with_facts(wanted)
+        .filter(_cell().between(F.col("_from"), F.col("_to")))
+        .groupBy(*by, "_place", "_base", "value")
+        .agg(F.count(F.lit(1)).alias("_count"))
+        .withColumn("_end", F.col("_base") + F.sum("_count").over(up_to.orderBy("value")))
     )
-    ranked = inside.withColumn("_end", F.col("_base") + F.sum("_copies").over(up_to))
-    begin = F.col("_end") - F.col("_copies")
 
-    def value_at(rank: str) -> Column:
-        here = (begin <= F.col(rank)) & (F.col(rank) < F.col("_end"))
-        return F.max(F.when(here, F.col("value")))
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when(holds(rank), F.col("value")))
 
-    low, high = value_at("_lower"), value_at("_upper")
-    value = low + F.max("_weight") * (high - low)
-    return ranked.groupBy(*groups).agg(value.alias("value")).select(*by, "value")
+    low, high = value_at(lower), value_at(upper)
+    weight = F.max(F.col("_place") - lower)
+    return ranked.groupBy(*by).agg((low + weight * (high - low)).alias("value"))
 
 
 def label_values(df: DataFrame, metric: str, name: str) -> DataFrame:
