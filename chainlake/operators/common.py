@@ -26,3 +26,9 @@ def ordering(names: str | Sequence[str]) -> Column:
 def whole(dividend: Column, divisor: Column) -> Column:
     """Integer division; exact for longs, where ``/`` would go through doubles."""
     return F.call_function("div", dividend, divisor)
+
+
+def floor_div(dividend: Column, divisor: int) -> Column:
+    """Integer division that rounds down, also below zero."""
+    by = F.lit(divisor).cast("long")
+    return whole(dividend - F.pmod(dividend, by), by)

@@ -13,13 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import bucket_start, seconds_of
-from .common import columns, ordering, whole
+from .common import columns, floor_div, ordering
 
 # Fixed values.
 ACCEPTED_QUANTILES = ("0", "0.5", "0.9", "0.95", "0.99", "0.999", "1")
@@ -30,8 +31,9 @@ ALL_VALUES = ".*"
 #: Labels that tell series apart when a call does not say otherwise.
 SERIES = ("metric", "instance", "job")
 
-#: Pieces a bucket of one series is split into; shapes the work, not the result.
-SLOTS = 128
+#: Pieces a bucket of one series is split into. It shapes the work and not the
+#: result; a power of two up to 64 divides any bucket of whole seconds.
+SLOTS = 64
 
 
 @dataclass(frozen=True)
@@ -81,6 +83,19 @@ def select_series(
     return selected
 
 
+def moment(tie: str | None) -> Column:
+    """Ordering of samples in time for ``max_by``.
+
+    Time and tie-break are packed into one number. A fixed-width ordering keeps
+    the aggregate on the hash path, where a struct would have every task sort all
+    of its samples first. ``tie`` must be a whole-number column.
+    """
+    if tie is None:
+        return F.col("ts")
+    micros = F.unix_micros("ts").cast("decimal(18,0)")
+    return micros * F.lit(Decimal(2**64)) + F.col(tie)
+
+
 # --- Counters ---------------------------------------------------------------
 
 
@@ -94,37 +109,38 @@ def series_increase(
     bucket: str | int,
     series: Sequence[str] = SERIES,
     tie: str | None = None,
-    slots: int = SLOTS,
 ) -> DataFrame:
     """``bucket, series…, increase``: the increase of each series per bucket.
 
     Each bucket of a series is split into time slots, whose samples are ordered
     apart from each other; only (first, last, increase) of a slot goes on. So
-    neither a busy series nor a busy bucket has to be sorted in one task.
+    neither a busy series nor a busy bucket has to be sorted in one task. Slots
+    are numbered through from the epoch, so one number stands for both.
     """
     series = columns(series)
-    micros = seconds_of(bucket) * 1_000_000
-    epoch = F.unix_micros("ts")
-    start = bucket_start("ts", bucket)
-    slot = whole((epoch - start * 1_000_000) * slots, F.lit(micros))
+    seconds = seconds_of(bucket)
+    slot = floor_div(F.unix_micros("ts"), seconds * 1_000_000 // SLOTS)
     by_time = ["ts", tie] if tie else ["ts"]
-    in_slot = Window.partitionBy(*series, "bucket", "_slot").orderBy(*by_time)
+    in_slot = Window.partitionBy(*series, "_slot").orderBy(*by_time)
     pieces = (
         df.filter(F.col("value").isNotNull())
-        .select(*series, *by_time, "value", start.alias("bucket"), slot.alias("_slot"))
-        .withColumn("_gain", _gain(F.col("value"), F.lag("value").over(in_slot)))
-        .groupBy(*series, "bucket", "_slot")
+        .select(*series, *by_time, "value", slot.alias("_slot"))
+        .withColumn("_before", F.lag("value").over(in_slot))
+        .groupBy(*series, "_slot")
         .agg(
             F.min_by("value", ordering(by_time)).alias("_first"),
             F.max_by("value", ordering(by_time)).alias("_last"),
-            F.coalesce(F.sum("_gain"), F.lit(0.0)).alias("_inside"),
+            F.sum(_gain(F.col("value"), F.col("_before"))).alias("_inside"),
         )
+        .withColumn("bucket", floor_div(F.col("_slot"), SLOTS) * seconds)
     )
     over_slots = Window.partitionBy(*series, "bucket").orderBy("_slot")
+    step = _gain(F.col("_first"), F.col("_before"))
+    zero = F.lit(0.0)
     return (
-        pieces.withColumn("_step", _gain(F.col("_first"), F.lag("_last").over(over_slots)))
+        pieces.withColumn("_before", F.lag("_last").over(over_slots))
         .groupBy("bucket", *series)
-        .agg(F.sum(F.col("_inside") + F.coalesce("_step", F.lit(0.0))).alias("increase"))
+        .agg(F.sum(F.coalesce("_inside", zero) + F.coalesce(step, zero)).alias("increase"))
     )
 
 
@@ -250,11 +266,10 @@ def latest(
 ) -> DataFrame:
     """``by…, ts, value``: the last sample of each series that is not null."""
     by = columns(by)
-    last = ordering(["ts", tie] if tie else ["ts"])
     return (
         df.filter(F.col("value").isNotNull())
         .groupBy(*by)
-        .agg(F.max("ts").alias("ts"), F.max_by("value", last).alias("value"))
+        .agg(F.max("ts").alias("ts"), F.max_by("value", moment(tie)).alias("value"))
     )
 
 
@@ -296,8 +311,7 @@ def _instant(
 ) -> DataFrame:
     """Latest value per bucket and ``on``; more than one series there is an error."""
     extra = [name for name in columns(series) if name not in on]
-    last = ordering(["ts", tie] if tie else ["ts"])
-    value = F.max_by("value", last)
+    value = F.max_by("value", moment(tie))
     if extra:
         identity = F.struct(*extra)
         value = F.when(F.min(identity).eqNullSafe(F.max(identity)), value).otherwise(
@@ -421,7 +435,7 @@ SKETCH_ACCURACY = 10_000
 
 #: Cells the bracket is cut into, and copies of a group's facts in a join.
 CELLS = 1024
-SALTS = 8
+SALTS = 64
 
 
 def quantile(
@@ -473,7 +487,8 @@ def _exact_quantile(
 
     def with_facts(facts: DataFrame) -> DataFrame:
         copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        return salted.join(copies, [*by, "_salt"])
+        # Without labels there is one row of facts, so its copies can be sent around.
+        return salted.join(copies if by else F.broadcast(copies), [*by, "_salt"])
 
     margin = 2.0 / accuracy
     ends = [max(share - margin, 0.0), min(share + margin, 1.0)]

@@ -156,7 +156,7 @@ def instant(name: str, metric: str) -> str:
 def cells(source: str, bounds: list, seconds: int, by: str, ts: str = "ts") -> str:
     return f"""
   SELECT {bucket(seconds, ts)} AS bucket, {by}, {le(bounds)} AS le, count(*) AS observations,
-         round(count(*) / {seconds}, 6) AS rate
+         round(count(*) / {seconds}, 9) AS rate
   FROM {source} GROUP BY ALL"""
 
 
@@ -168,7 +168,7 @@ def quantile(q: float, by: str) -> str:
     keys = f"{by}, " if by else ""
     group = f"GROUP BY {by}" if by else ""
     return (
-        f"WITH {SAMPLES} SELECT {keys}round(quantile_cont(value, {q}), 6) AS value "
+        f"WITH {SAMPLES} SELECT {keys}round(quantile_cont(value, {q}), 9) AS value "
         f"FROM samples {group}"
     )
 
@@ -293,7 +293,7 @@ ORACLES: dict[str, str] = {
                max(sent_b) AS largest_bytes
         FROM labelled GROUP BY object_type, label""",
     "shipping_sizes": f"""WITH {SHIP_LOG}
-        SELECT object_type, round(quantile_cont(bytes::DOUBLE, 0.999), 6) AS value
+        SELECT object_type, round(quantile_cont(bytes::DOUBLE, 0.999), 9) AS value
         FROM ship_log WHERE object_type = 'archive' AND NOT skipped GROUP BY object_type""",
     "shipping_times": f"""WITH {SHIP_LOG}, times AS (
           SELECT finished_at AS ts, object_type, seconds AS value FROM ship_log)
@@ -319,33 +319,33 @@ ORACLES: dict[str, str] = {
         WHERE metric IN ('click', 'purchase') AND job IN (0, 2)
           AND regexp_full_match(CAST(kind AS VARCHAR), '[1-4][0-9]')""",
     "sum_rate": f"""WITH {increases()}
-        SELECT bucket, instance, round(sum(increase) / {DAY}, 6) AS rate
+        SELECT bucket, instance, round(sum(increase) / {DAY}, 9) AS rate
         FROM increases WHERE metric = 'click' GROUP BY bucket, instance""",
     "sum_increase": f"""WITH {increases()}
-        SELECT bucket, metric, job, round(sum(increase), 6) AS increase
+        SELECT bucket, metric, job, round(sum(increase), 9) AS increase
         FROM increases GROUP BY bucket, metric, job""",
     "counter_rates": f"""WITH {increases()}
-        SELECT bucket, instance, metric, round(sum(increase) / {DAY}, 6) AS rate
+        SELECT bucket, instance, metric, round(sum(increase) / {DAY}, 9) AS rate
         FROM increases WHERE metric IN ('error', 'signup')
         GROUP BY bucket, instance, metric""",
     "stream_sum_rate": f"""WITH {increases()}
-        SELECT bucket, metric, job, round(sum(increase) / {DAY}, 6) AS rate
+        SELECT bucket, metric, job, round(sum(increase) / {DAY}, 9) AS rate
         FROM increases WHERE {closed_days()} GROUP BY bucket, metric, job""",
     "stream_heatmap": f"""WITH {SAMPLES}
         SELECT * FROM ({cells("samples", VALUE_BOUNDS, DAY, "metric")})
         WHERE {closed_days()}""",
     "percent_ratio": f"""WITH {sided("click", "view", ["instance"])}
-        SELECT bucket, instance, round(l / nullif(r, 0) * 100, 6) AS percent FROM sides""",
+        SELECT bucket, instance, round(l / nullif(r, 0) * 100, 9) AS percent FROM sides""",
     "hit_rate": f"""WITH {sided("error", "view", [])}
-        SELECT bucket, round((1 - l / nullif(r, 0)) * 100, 6) AS hit_rate FROM sides""",
+        SELECT bucket, round((1 - l / nullif(r, 0)) * 100, 9) AS hit_rate FROM sides""",
     "vector_match": f"""WITH {SAMPLES},{instant("a", "click")},{instant("b", "view")}
-        SELECT bucket, instance, job, round(a.value - b.value, 6) AS value
+        SELECT bucket, instance, job, round(a.value - b.value, 9) AS value
         FROM a JOIN b USING (bucket, instance, job)""",
     "latest_sample": f"""WITH {LATEST}
         SELECT metric, instance, job, epoch_us(ts) AS ts_us, value FROM latest""",
     "agg_across_series": f"""WITH {LATEST}
         SELECT metric, job, min(value) AS min, max(value) AS max,
-               round(avg(value), 6) AS avg, round(sum(value), 6) AS sum,
+               round(avg(value), 9) AS avg, round(sum(value), 9) AS sum,
                count(value) AS count
         FROM latest GROUP BY metric, job""",
     "agg_global_min": f"""WITH {LATEST}
@@ -353,14 +353,18 @@ ORACLES: dict[str, str] = {
     "heatmap": f"WITH {SAMPLES} {cells('samples', VALUE_BOUNDS, 10, 'metric')}",
     "heatmap_cumulative": f"""WITH {SAMPLES}, bucketed AS (
           SELECT {bucket(DAY)} AS bucket, value FROM samples)
-        SELECT bucket, le, observations, round(observations / {DAY}, 6) AS rate
+        SELECT bucket, le, observations, round(observations / {DAY}, 9) AS rate
         FROM ({CUMULATIVE})""",
     "quantile_series": quantile(0.95, "metric"),
     "quantile_by_instance": quantile(0.999, "instance"),
     "quantile_global": quantile(0.5, ""),
+    # The sketch is exact while a group is small against its accuracy.
+    "quantile_sketch": f"""WITH {SAMPLES}
+        SELECT instance, quantile_disc(value, 0.95) AS value
+        FROM samples GROUP BY instance""",
     "count_rate": f"""WITH {SAMPLES}
         SELECT {bucket(DAY)} AS bucket, metric, job, count(*) AS observations,
-               round(count(*) / {DAY}, 6) AS rate
+               round(count(*) / {DAY}, 9) AS rate
         FROM samples GROUP BY ALL""",
     "label_values": f"""WITH {SAMPLES}
         SELECT DISTINCT kind FROM samples WHERE metric = 'click' AND kind IS NOT NULL""",
