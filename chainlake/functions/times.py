@@ -2,30 +2,48 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Seconds per unit.
-UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+UNITS = {
+    "s": 1,
+    "sec": 1,
+    "second": 1,
+    "m": 60,
+    "min": 60,
+    "minute": 60,
+    "h": 3600,
+    "hr": 3600,
+    "hour": 3600,
+    "d": 86400,
+    "day": 86400,
+    "w": 604800,
+    "week": 604800,
+}
 
 # Zone names that mean UTC.
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def seconds_of(duration: str | int) -> int:
-    """Whole seconds of ``10``, ``"10 seconds"``, ``"1 day"`` and the like."""
-    if isinstance(duration, bool):
-        raise TypeError("a duration is a number of seconds or a text")
-    if isinstance(duration, int):
+    """Whole seconds of ``10``, ``"10 seconds"``, ``"1h 30m"`` and the like."""
+    if isinstance(duration, int) and not isinstance(duration, bool):
         seconds = duration
+    elif isinstance(duration, str):
+        seconds = 0
+        for count, unit in re.findall(r"(\d*)\s*(\D*)", duration.strip())[:-1]:
+            name = unit.strip()
+            name = name if name in UNITS else name.removesuffix("s")
+            if not count or name not in UNITS:
+                raise ValueError(f"not a duration: {duration!r}")
+            seconds += int(count) * UNITS[name]
     else:
-        count, _, unit = duration.strip().partition(" ")
-        unit = unit.strip().rstrip("s")
-        if not count.isdigit() or unit not in UNITS:
-            raise ValueError(f"not a duration: {duration!r}")
-        seconds = int(count) * UNITS[unit]
+        raise TypeError("a duration is a number of seconds or a text")
     if seconds <= 0:
-        raise ValueError("a duration must be positive")
+        raise ValueError(f"a duration must be positive: {duration!r}")
     return seconds
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import bucket_start, seconds_of
-from .common import columns, floor_div, ordering
+from .common import columns, floor_div
 
 # Fixed values.
 ACCEPTED_QUANTILES = ("0", "0.5", "0.9", "0.95", "0.99", "0.999", "1")
@@ -121,20 +121,22 @@ def series_increase(
     seconds = seconds_of(bucket)
     slot = floor_div(F.unix_micros("ts"), seconds * 1_000_000 // SLOTS)
     by_time = ["ts", tie] if tie else ["ts"]
-    in_slot = Window.partitionBy(*series, "_slot").orderBy(*by_time)
+    in_slot = Window.partitionBy("_slot", *series).orderBy(*by_time)
     pieces = (
         df.filter(F.col("value").isNotNull())
         .select(*series, *by_time, "value", slot.alias("_slot"))
         .withColumn("_before", F.lag("value").over(in_slot))
-        .groupBy(*series, "_slot")
+        .withColumn("_after", F.lead("value").over(in_slot))
+        .groupBy("_slot", *series)
         .agg(
-            F.min_by("value", ordering(by_time)).alias("_first"),
-            F.max_by("value", ordering(by_time)).alias("_last"),
+            # The first sample has none before it, the last one none after it.
+            F.max(F.when(F.col("_before").isNull(), F.col("value"))).alias("_first"),
+            F.max(F.when(F.col("_after").isNull(), F.col("value"))).alias("_last"),
             F.sum(_gain(F.col("value"), F.col("_before"))).alias("_inside"),
         )
         .withColumn("bucket", floor_div(F.col("_slot"), SLOTS) * seconds)
     )
-    over_slots = Window.partitionBy(*series, "bucket").orderBy("_slot")
+    over_slots = Window.partitionBy("bucket", *series).orderBy("_slot")
     step = _gain(F.col("_first"), F.col("_before"))
     zero = F.lit(0.0)
     return (

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, fields
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from ..functions.times import seconds_of
 from ..operators import blocks as block_ops
 from ..operators import catalog as catalog_ops
 from ..operators import integrity, objects
@@ -39,6 +42,38 @@ def expected_etags(
     return integrity.composite_etag(integrity.part_md5(parts, key), key)
 
 
+@dataclass(frozen=True)
+class ShipConfig:
+    """Settings of shipping; unknown names are rejected.
+
+    ``max_concurrency`` is accepted and has no effect: the cluster's task slots
+    are the bound. ``max_attempts`` is ours; None repeats without limit.
+    """
+
+    retry_delay: str | int = "1 second"
+    max_concurrency: int | None = None
+    enable_duplication: bool = False
+    last_archives_to_upload: int = catalog_ops.DEFAULT_TAIL
+    max_attempts: int | None = 5
+
+    @classmethod
+    def of(cls, settings: ShipConfig | Mapping[str, object] | None) -> ShipConfig:
+        if isinstance(settings, cls):
+            return settings
+        settings = settings or {}
+        unknown = sorted(set(settings) - {field.name for field in fields(cls)})
+        if unknown:
+            raise ValueError(f"unknown shipping settings: {unknown}")
+        config = cls(**settings)
+        seconds_of(config.retry_delay)
+        return config
+
+
+def store(table: DataFrame, path: str) -> None:
+    """Store a table; replaces what an earlier run left under the same path."""
+    table.write.mode("overwrite").parquet(path)
+
+
 def ship(
     spark: SparkSession,
     catalog: DataFrame,
@@ -46,63 +81,87 @@ def ship(
     manifest: DataFrame,
     path: str,
     part_size: int,
+    config: ShipConfig | Mapping[str, object] | None = None,
     key: str | Sequence[str] = "object_id",
-    max_attempts: int = 5,
-    enable_duplication: bool = False,
     on_error: str = "continue",
+    put: Callable[[DataFrame, str], None] = store,
 ) -> DataFrame:
     """Ship the objects the store lacks as fixed-size parts until they verify.
 
-    Each attempt cuts the pending objects into parts, writes them with their
-    digests to a folder of its own, reads the folder back and compares tag and
-    size. What does not match goes into the next attempt. Objects of unknown
-    size are never tried: ``continue`` leaves them out, ``stop`` raises. Returns
-    ``key, etag, parts, size, attempt`` and raises if objects remain after
-    ``max_attempts``. The driver only learns whether some remain.
+    Each attempt cuts the pending objects into parts from their first byte on,
+    stores them with their digests in a folder of its own, reads the folder back
+    and compares tag and size. What does not match goes into the next attempt.
+    Objects of unknown size are never tried: ``continue`` leaves them out,
+    ``stop`` raises. Returns ``key, etag, parts, size, attempt`` and raises if
+    objects remain after the last attempt. The driver only learns whether some
+    remain.
     """
-    key = columns(key)
-    missing = catalog_ops.skip_existing(catalog, manifest, enable_duplication, key)
+    key, config = columns(key), ShipConfig.of(config)
+    missing = catalog_ops.skip_existing(catalog, manifest, config.enable_duplication, key)
     if on_error == "stop" and not integrity.unsized(missing).isEmpty():
         raise RuntimeError("objects of unknown size cannot be shipped")
-    todo = missing.filter(F.col("size").isNotNull()).select(
+    left = missing.filter(F.col("size").isNotNull()).select(
         *key, F.col("size").alias("_size")
     )
     done: DataFrame | None = None
-    for attempt in range(1, max_attempts + 1):
+    for attempt in count(1):
+        # A written list of known size, so that it is found out only once. One
+        # folder per attempt: Spark takes two readings of the same folder in a
+        # plan for the same data, even where files came in between.
+        store(left, f"{path}/todo/{attempt}")
+        todo = spark.read.parquet(f"{path}/todo/{attempt}")
         wanted = chunks.join(todo, key, "left_semi")
         parts = objects.rechunk(wanted, part_size, key).withColumns(
             {"length": F.octet_length("data").cast("long"), "md5": F.md5("data")}
         )
-        parts.write.mode("overwrite").parquet(f"{path}/parts/attempt={attempt}")
-        stored = spark.read.parquet(f"{path}/parts/attempt={attempt}")
+        put(parts, f"{path}/parts/{attempt}")
+        stored = spark.read.schema(parts.schema).parquet(f"{path}/parts/{attempt}")
         promised = integrity.composite_etag(stored.drop("data"), key, todo)
         reported = integrity.composite_etag(integrity.part_md5(stored, key), key, todo)
         checked = integrity.verify(promised, integrity.manifest_of(reported, key), key)
         verified = checked.join(todo, key).filter(
             F.col("verified") & (F.col("size") == F.col("_size"))
         )
-        verified.select(*key, "etag", "parts", "size").write.mode("overwrite").parquet(
-            f"{path}/verified/attempt={attempt}"
+        store(verified.select(*key, "etag", "parts", "size"), f"{path}/verified/{attempt}")
+        now = spark.read.parquet(f"{path}/verified/{attempt}").withColumn(
+            "attempt", F.lit(attempt)
         )
-        done = spark.read.parquet(f"{path}/verified")
-        todo = todo.join(done, key, "left_anti")
-        if todo.isEmpty():
-            return done.withColumn("attempt", F.col("attempt").cast("int"))
+        done = now if done is None else done.unionByName(now)
+        left = todo.join(now, key, "left_anti")
+        if left.isEmpty():
+            return done
+        if attempt == config.max_attempts:
+            raise RuntimeError(f"objects left unverified after {attempt} attempts")
         log.warning("attempt %d left objects to ship again", attempt)
-    raise RuntimeError(f"objects left unverified after {max_attempts} attempts")
+        time.sleep(seconds_of(config.retry_delay))
+
+
+def ship_committed_tail(
+    spark: SparkSession,
+    catalog: DataFrame,
+    chunks: DataFrame,
+    manifest: DataFrame,
+    path: str,
+    part_size: int,
+    config: ShipConfig | Mapping[str, object] | None = None,
+    key: str = "object_id",
+) -> DataFrame:
+    """Catch-up at the start of a run: ship the last committed archives."""
+    config = ShipConfig.of(config)
+    tail = catalog_ops.committed_tail(catalog, config.last_archives_to_upload, key)
+    return ship(spark, tail, chunks, manifest, path, part_size, config, key)
 
 
 def replay(
     spark: SparkSession,
     archive_path: str,
-    schema: StructType,
     snapshot_path: str | None = None,
-    snapshot_key: dict | None = None,
+    snapshot_key: Mapping[str, object] | None = None,
     ids: Sequence[int] | DataFrame | None = None,
     order: Sequence[str] = ("seqno", "lt"),
 ) -> DataFrame:
     """Archives to the latest state per account, optionally kept as a snapshot."""
-    blocks = read_archives(spark, archive_path, schema, ids)
+    blocks = read_archives(spark, archive_path, ids)
     changes = account_changes(block_ops.flatten_transactions(blocks))
     latest = latest_state(changes, "account", order)
     if snapshot_path:

@@ -273,6 +273,13 @@ ORACLES: dict[str, str] = {
         FROM etags e JOIN catalog c ON c.object_id = e.object_id
         WHERE c.size IS NOT NULL
           AND e.object_id NOT IN (SELECT object_id FROM manifest)""",
+    "ship_committed_tail": f"""WITH {PARTS},{MANIFEST},{CATALOG}
+        SELECT e.object_id, etag, parts, e.size, CAST(1 AS INTEGER) AS attempt
+        FROM etags e
+        JOIN (SELECT * FROM catalog ORDER BY object_id DESC LIMIT {TAIL}) c
+          ON c.object_id = e.object_id
+        WHERE c.size IS NOT NULL
+          AND e.object_id NOT IN (SELECT object_id FROM manifest)""",
     "archive_sink_roundtrip": f"""
         SELECT doc_id - doc_id % {OBJECTS_PER_ARCHIVE} AS archive_id, count(*) AS objects,
                CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes,

@@ -12,7 +12,7 @@ from .. import sinks, sources, streaming
 from ..functions.keys import event_ms
 from ..operators import blocks, catalog, integrity, metrics, objects, state
 from ..operators.metrics import Matching
-from ..schemas import BLOCK, CHUNK
+from ..schemas import CHUNK
 from ..session import scratch_dir
 from . import flows, views
 
@@ -98,7 +98,7 @@ def _document_archives(spark: SparkSession, sf_dir: str) -> str:
 def archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _document_archives(spark, sf_dir)
     content = StructType([f for f in CHUNK.fields if f.name != "chunk_no"])
-    return sources.read_archives(spark, path, content).select(
+    return sources.read_archives(spark, path, schema=content).select(
         "archive_id", "object_id", F.md5("data").alias("md5")
     )
 
@@ -107,7 +107,7 @@ def archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_replay_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "block-archives")
     flows.store_blocks(views.blocks(spark, sf_dir), path, views.BLOCKS_PER_ARCHIVE)
-    latest = flows.replay(spark, path, BLOCK, order=["seqno", "lt", "payload"])
+    latest = flows.replay(spark, path, order=["seqno", "lt", "payload"])
     return latest.select(
         hex_of("account"), "workchain", "seqno", "lt", "now", text_of("payload")
     )
@@ -299,6 +299,19 @@ def ship_until_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def ship_committed_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.ship_committed_tail(
+        spark,
+        views.catalog(spark, sf_dir),
+        views.chunks(spark, sf_dir),
+        views.manifest(spark, sf_dir),
+        scratch_dir(spark, "store"),
+        views.PART_SIZE,
+        {"last_archives_to_upload": TAIL},
+    )
+
+
 @query
 def archive_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _document_archives(spark, sf_dir)

@@ -52,7 +52,7 @@ def append_batch(df: DataFrame, path: str, number: int, column: str = "batch_id"
 
 
 def snapshots(
-    frames: Iterable[tuple[Mapping[str, object], DataFrame]],
+    frames: DataFrame | Iterable[tuple[Mapping[str, object], DataFrame]],
     path: str,
     on_error: str = "stop",
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
@@ -61,10 +61,15 @@ def snapshots(
 
     Returns each key with its error, or None. ``stop`` raises at the first
     snapshot that fails, so later ones are not tried; ``continue`` logs it and
-    goes on with the next.
+    goes on with the next. One table that holds the key columns is written by one
+    job, which keeps all of its snapshots or none.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {', '.join(ON_ERROR)}")
+    if isinstance(frames, DataFrame):
+        table = frames.hint("rebalance", *SNAPSHOT_KEY)
+        _replacing(table, SNAPSHOT_KEY, max_records_per_file).parquet(path)
+        return []
     results: list[tuple[dict, str | None]] = []
     for key, state in frames:
         missing = [name for name in SNAPSHOT_KEY if name not in key]

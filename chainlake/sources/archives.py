@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..schemas import BLOCK
+
 
 def read_archives(
     spark: SparkSession,
     path: str,
-    schema: StructType,
     ids: Sequence[int] | DataFrame | None = None,
+    schema: StructType = BLOCK,
     stream: bool = False,
 ) -> DataFrame:
     """Contents of the archives under ``path`` with their ``archive_id``.

@@ -62,13 +62,13 @@ def test_etag_matches(spark, reported, expected, matches):
 
 
 @pytest.mark.parametrize(
-    "text, seconds", [(10, 10), ("10 seconds", 10), ("1 day", 86400), ("2 hours", 7200)]
+    "text, seconds", [(10, 10), ("10 seconds", 10), ("1 day", 86400), ("2 hours", 7200), ("1s", 1), ("1h 30m", 5400), ("2days 5 min", 173100)]
 )
 def test_seconds_of(text, seconds):
     assert fn.seconds_of(text) == seconds
 
 
-@pytest.mark.parametrize("text", ["", "ten seconds", "1 fortnight", 0, "-1 day"])
+@pytest.mark.parametrize("text", ["", "ten seconds", "1 fortnight", 0, "-1 day", "5", "1.5 hours"])
 def test_bad_durations(text):
     with pytest.raises(ValueError):
         fn.seconds_of(text)

@@ -2,6 +2,7 @@ import hashlib
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from chainlake import catalog, integrity
 from chainlake.plans import flows
@@ -108,7 +109,7 @@ def test_ship_gives_up_on_what_never_verifies(spark, folder, shipment):
     wrong, chunks, manifest = shipment
     wrong = wrong.filter("object_id = 1").selectExpr("object_id", "size + 1 AS size")
     with pytest.raises(RuntimeError, match="after 2 attempts"):
-        flows.ship(spark, wrong, chunks, manifest, folder("store"), 1024, max_attempts=2)
+        flows.ship(spark, wrong, chunks, manifest, folder("store"), 1024, {"max_attempts": 2})
 
 
 def test_shipping_summary(spark, rows):
@@ -145,3 +146,37 @@ def test_md5_of_parts(spark):
     parts = spark.createDataFrame([(1, 0, content)], "object_id long, part_no long, data binary")
     row = integrity.part_md5(parts).first()
     assert (row.md5, row.length) == (hashlib.md5(content).hexdigest(), 3000)
+
+
+def test_damaged_parts_are_shipped_again(spark, rows, folder, shipment):
+    attempts = []
+
+    def unreliable(parts, path):
+        attempts.append(path)
+        if len(attempts) == 1:
+            broken = (F.col("object_id") == 1) & (F.col("part_no") == 2)
+            lost = (F.col("object_id") == 4) & (F.col("part_no") == 1)
+            parts = parts.withColumn("data", F.when(broken, F.lit(b"?")).otherwise(F.col("data")))
+            parts = parts.filter(~lost)
+        flows.store(parts, path)
+
+    done = flows.ship(spark, *shipment, folder("store"), 1024, put=unreliable)
+    assert rows(done, "object_id", "attempt") == [(1, 2), (3, 1), (4, 2), (8, 1)]
+    assert len(attempts) == 2
+
+
+def test_catch_up_ships_the_tail_only(spark, rows, folder, shipment):
+    done = flows.ship_committed_tail(spark, *shipment, folder("store"), 1024)
+    assert rows(done, "object_id") == [(4,), (8,)]
+    config = {"last_archives_to_upload": 4, "enable_duplication": True}
+    done = flows.ship_committed_tail(spark, *shipment, folder("store"), 1024, config)
+    assert rows(done, "object_id") == [(3,), (4,), (8,)]
+
+
+def test_shipping_settings():
+    defaults = flows.ShipConfig.of(None)
+    assert (defaults.retry_delay, defaults.enable_duplication) == ("1 second", False)
+    assert defaults.last_archives_to_upload == 3
+    for bad in ({"bucket_name": "x"}, {"retry_delay": "soon"}):
+        with pytest.raises(ValueError):
+            flows.ShipConfig.of(bad)

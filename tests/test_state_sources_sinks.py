@@ -62,20 +62,20 @@ def archive_folder(spark, folder):
 
 def test_archives_are_pruned_by_id(spark, rows, folder):
     path = archive_folder(spark, folder)
-    some = sources.read_archives(spark, path, CHUNK, [1, 3])
+    some = sources.read_archives(spark, path, [1, 3], CHUNK)
     assert rows(some, "archive_id", "object_id") == [(1, 2), (1, 3), (3, 6), (3, 7)]
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [archive_id" in plan
     listed = spark.createDataFrame([(2,)], "archive_id long")
-    assert rows(sources.read_archives(spark, path, CHUNK, listed), "object_id") == [(4,), (5,)]
-    assert sources.read_archives(spark, path, CHUNK).count() == 8
+    assert rows(sources.read_archives(spark, path, listed, CHUNK), "object_id") == [(4,), (5,)]
+    assert sources.read_archives(spark, path, schema=CHUNK).count() == 8
 
 
 def test_archives_replace_only_their_own_key(spark, rows, folder):
     path = archive_folder(spark, folder)
     sinks.archives(spark.createDataFrame([(1, 99, 0, b"new")],
                    "archive_id long, object_id long, chunk_no long, data binary"), path)
-    assert rows(sources.read_archives(spark, path, CHUNK), "archive_id", "object_id") == [
+    assert rows(sources.read_archives(spark, path, schema=CHUNK), "archive_id", "object_id") == [
         (0, 0), (0, 1), (1, 99), (2, 4), (2, 5), (3, 6), (3, 7),
     ]
 
@@ -97,10 +97,10 @@ def test_replay_with_a_snapshot(spark, rows, folder):
     path, out = folder("archives"), folder("snapshots")
     flows.store_blocks(spark.createDataFrame(data, BLOCK), path, 10)
     key = {"workchain": 0, "seqno": 12, "kind": "accounts"}
-    latest = flows.replay(spark, path, BLOCK, out, key)
+    latest = flows.replay(spark, path, out, key)
     assert rows(latest, "account", "payload") == [(a, b"new"), (b, b"only")]
     assert spark.read.parquet(out).count() == 2
-    early = flows.replay(spark, path, BLOCK, ids=[0])
+    early = flows.replay(spark, path, ids=[0])
     assert rows(early, "account", "payload") == [(a, b"mid"), (b, b"only")]
 
 
@@ -125,6 +125,17 @@ def test_snapshots_can_go_on(spark, folder):
     assert sorted(r.seqno for r in spark.read.parquet(path).collect()) == [1, 3]
 
 
+def test_snapshots_of_one_table(spark, rows, folder):
+    path = folder("snapshots")
+    names = "workchain int, seqno long, kind string, account long"
+    table = spark.createDataFrame([(0, 1, "a", 5), (-1, 1, "a", 6), (0, 2, "a", 7)], names)
+    sinks.snapshots(table, path)
+    sinks.snapshots(table.filter("seqno = 2").withColumn("account", F.lit(8)), path)
+    assert rows(spark.read.parquet(path), "workchain", "seqno", "account") == [
+        (-1, 1, 6), (0, 1, 5), (0, 2, 8),
+    ]
+
+
 def test_snapshot_arguments(spark, folder):
     with pytest.raises(ValueError):
         sinks.snapshots([], folder(), "retry")
