@@ -227,10 +227,9 @@ ORACLES: dict[str, str] = {
     "event_time": f"""WITH {LINES}
         SELECT seqno, lt, now * 1000 AS event_ms, now * 1000000 AS event_us FROM lines""",
     "pack_payload": f"""WITH {LINES}
-        SELECT CAST(year(make_timestamp(now * 1000000)) AS INTEGER) AS year,
-               count(*) AS records, CAST(sum(length(payload)) AS BIGINT) AS raw_bytes,
+        SELECT lt, count(*) AS records, CAST(sum(length(payload)) AS BIGINT) AS raw_bytes,
                count(*) AS frames
-        FROM lines GROUP BY 1""",
+        FROM lines GROUP BY lt""",
     "sink_record": f"WITH {RECORDS} SELECT key, value, partition, event_ms FROM records",
     "kafka_record_counts": f"""WITH {RECORDS}
         SELECT partition, count(*) AS records FROM records GROUP BY partition""",

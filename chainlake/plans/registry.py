@@ -172,13 +172,11 @@ def event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pack_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = views.lines(spark, sf_dir).select(
-        F.year(F.timestamp_seconds("now")).alias("year"), "payload"
-    )
+    lines = views.lines(spark, sf_dir).select("lt", "payload")
     frame = F.hex(F.substring("packed", 1, 4)) == ZSTD_MAGIC
     return (
         blocks.pack_payload(lines)
-        .groupBy("year")
+        .groupBy("lt")
         .agg(
             F.count(F.lit(1)).alias("records"),
             F.sum("raw_size").alias("raw_bytes"),
