@@ -411,6 +411,23 @@ def heatmap(
     )
 
 
+def bucket_heatmap(
+    df: DataFrame,
+    metric: str,
+    bucket: str | int = RATE_INTERVAL,
+    by: str | Sequence[str] = (),
+    series: Sequence[str] = SERIES,
+    tie: str | None = None,
+) -> DataFrame:
+    """``bucket, by…, le, rate`` of a histogram already kept as counters.
+
+    The samples of ``<metric>_bucket`` carry their upper bound in the label
+    ``le``; each bound is a counter of its own.
+    """
+    counters = select_series(df, f"{metric}_bucket")
+    return sum_rate(counters, [*columns(by), "le"], bucket, series, tie)
+
+
 def count_rate(
     df: DataFrame, by: str | Sequence[str] = "instance", bucket: str | int = RATE_INTERVAL
 ) -> DataFrame:
@@ -432,6 +449,18 @@ def count_rate(
     )
 
 
+def check_quantile(q: str) -> str:
+    """The quantile if it is an accepted one, else ``ValueError``."""
+    if q not in ACCEPTED_QUANTILES:
+        raise ValueError(f"quantile must be one of {', '.join(ACCEPTED_QUANTILES)}")
+    return q
+
+
+def summary_quantile(df: DataFrame, metric: str, q: str = DEFAULT_QUANTILE) -> DataFrame:
+    """Samples of a summary's own quantile, kept under the label ``quantile``."""
+    return select_series(df, metric, {"quantile": check_quantile(q)})
+
+
 #: Sketch accuracy of the bracket in the exact quantile.
 SKETCH_ACCURACY = 10_000
 
@@ -460,10 +489,8 @@ def quantile(
     that a group too large for one task can be split where its facts are too many
     to be broadcast.
     """
-    if q not in ACCEPTED_QUANTILES:
-        raise ValueError(f"quantile must be one of {', '.join(ACCEPTED_QUANTILES)}")
+    share = float(check_quantile(q))
     by = columns(by)
-    share = float(q)
     rows = df.filter(F.col("value").isNotNull()).select(*by, "value")
     if not exact:
         sketch = F.percentile_approx("value", share, accuracy)

@@ -361,6 +361,17 @@ ORACLES: dict[str, str] = {
           SELECT {bucket(DAY)} AS bucket, value FROM samples)
         SELECT bucket, le, observations, round(observations / {DAY}, 9) AS rate
         FROM ({CUMULATIVE})""",
+    "bucket_heatmap": f"""WITH {SAMPLES}, counters AS (
+          SELECT *, CAST(kind - kind % 25 AS DOUBLE) AS le, {bucket(DAY)} AS bucket
+          FROM samples WHERE metric = 'view' AND value IS NOT NULL),
+        stepped AS (
+          SELECT *, lag(value) OVER (PARTITION BY instance, job, le, bucket
+                                     ORDER BY ts, sample_id) AS previous
+          FROM counters)
+        SELECT bucket, le,
+               round(sum(CASE WHEN previous IS NULL THEN 0 WHEN value < previous THEN value
+                              ELSE value - previous END) / {DAY}, 9) AS rate
+        FROM stepped GROUP BY bucket, le""",
     "quantile_series": quantile(0.95, "metric"),
     "quantile_by_instance": quantile(0.999, "instance"),
     "quantile_global": quantile(0.5, ""),

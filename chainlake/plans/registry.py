@@ -539,6 +539,18 @@ def heatmap_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(cells, "rate")
 
 
+@query
+def bucket_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counters = views.samples(spark, sf_dir).withColumns(
+        {
+            "metric": F.concat("metric", F.lit("_bucket")),
+            "le": (F.col("kind") - F.col("kind") % 25).cast("double"),
+        }
+    )
+    rates = metrics.bucket_heatmap(counters, "view", DAY, tie="sample_id")
+    return rounded(rates, "rate")
+
+
 @query
 def quantile_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = metrics.quantile(views.samples(spark, sf_dir), "0.95", by="metric")

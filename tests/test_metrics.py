@@ -301,3 +301,20 @@ def test_sketch_quantile_is_a_value_of_the_data(spark):
 
 def test_label_values(counters, rows):
     assert rows(metrics.label_values(counters, "hit", "instance")) == [(1,), (2,)]
+
+
+def test_histogram_kept_as_counters(spark, rows):
+    data = [("t_bucket", s, le, v) for s, le, v in [(0, 1.0, 5.0), (9, 1.0, 8.0), (0, 2.0, 6.0), (9, 2.0, 16.0)]]
+    df = spark.createDataFrame(data + [("t_count", 0, None, 1.0)], "metric string, s long, le double, value double")
+    df = df.selectExpr("timestamp_seconds(s) AS ts", "metric", "1L AS instance", "0L AS job", "le", "value")
+    assert rows(metrics.bucket_heatmap(df, "t")) == [(0, 1.0, 0.3), (0, 2.0, 1.0)]
+
+
+def test_summary_quantile(spark, rows):
+    df = spark.createDataFrame(
+        [("size", "0.5", 1.0), ("size", "0.999", 2.0), ("other", "0.999", 3.0)],
+        "metric string, quantile string, value double",
+    )
+    assert rows(metrics.summary_quantile(df, "size", "0.999"), "value") == [(2.0,)]
+    with pytest.raises(ValueError):
+        metrics.summary_quantile(df, "size", "0.75")
