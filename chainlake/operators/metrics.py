@@ -52,6 +52,11 @@ def label(df: DataFrame, name: str) -> Column:
     raise ValueError(f"no label {name!r} in {df.columns}")
 
 
+def promote_labels(df: DataFrame, names: str | Sequence[str]) -> DataFrame:
+    """Turn entries of the ``labels`` map into columns, to group and match by them."""
+    return df.withColumns({name: label(df, name) for name in columns(names)})
+
+
 def select_series(
     df: DataFrame, metric: str | Sequence[str], matchers: Mapping | None = None
 ) -> DataFrame:

@@ -26,5 +26,5 @@ def merge_sources(
     ranked = [df.withColumn("priority", F.lit(i)) for i, df in enumerate(sources)]
     union = reduce(DataFrame.unionByName, ranked)
     rest = [name for name in union.columns if name not in key]
-    best = [F.min_by(name, "priority").alias(name) for name in rest]
-    return union.groupBy(*key).agg(*best)
+    best = F.min_by(F.struct(*rest), "priority").alias("_best")
+    return union.groupBy(*key).agg(best).select(*key, "_best.*")

@@ -71,6 +71,7 @@ def test_select_from_a_label_map(spark, rows):
     )
     assert rows(metrics.select_series(df, "a", {"zone": "x"}), "value") == [(1.0,)]
     assert rows(metrics.label_values(df, "a", "zone")) == [("x",)]
+    assert rows(metrics.promote_labels(df, "zone"), "value", "zone") == [(1.0, "x"), (2.0, None)]
 
 
 @pytest.mark.parametrize("metric", [1, None, ["a", 2], {"a"}])

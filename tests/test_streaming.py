@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from chainlake import blocks, metrics, sinks, sources, state, streaming
+from chainlake import blocks, metrics, scratch_dir, sinks, sources, state, streaming
 from chainlake.schemas import BLOCK, SAMPLE
 
 
@@ -41,10 +41,10 @@ def run_to_table(spark, df, folder):
     return spark.read.schema(df.schema).parquet(out)
 
 
-@pytest.fixture
-def sample_files(spark, folder):
-    """Four files; the last rows push the watermark past all buckets of interest."""
-    path = folder("samples")
+@pytest.fixture(scope="module")
+def sample_files(spark):
+    """Five files; the last row pushes the watermark past all buckets of interest."""
+    path = scratch_dir(spark, "samples")
     for n in range(4):
         add_file(samples(spark, sample_rows(n * 50, 50)), path)
     add_file(samples(spark, [(999, 10_000_000_000, "m", 0, 1.0)]), path)
