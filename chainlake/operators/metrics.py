@@ -320,7 +320,7 @@ def _instant(
     extra = [name for name in columns(series) if name not in on]
     value = F.max_by("value", moment(tie))
     if extra:
-        identity = F.struct(*extra)
+        identity = F.xxhash64(*extra)  # fixed width, for the hash path
         value = F.when(F.min(identity).eqNullSafe(F.max(identity)), value).otherwise(
             F.raise_error(F.lit("several series match the same labels")).cast("double")
         )
