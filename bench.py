@@ -54,6 +54,7 @@ def main() -> None:
     views.chunks(spark, SF_DIR).write.parquet(chunk_path)
     stored_blocks = sources.read_blocks(spark, block_path)
     stored_chunks = spark.read.parquet(chunk_path)
+    placed_chunks = stored_chunks.withColumn("offset", F.col("chunk_no") * views.CHUNK_SIZE)
     chunk_bytes = stored_chunks.agg(F.sum(F.octet_length("data"))).first()[0]
     records = blocks.flatten_transactions(stored_blocks).count()
 
@@ -72,6 +73,9 @@ def main() -> None:
         "stored_etags": best(
             lambda: sinks.noop(flows.expected_etags(stored_chunks, views.PART_SIZE))
         ),
+        "stored_etags_at_offsets": best(
+            lambda: sinks.noop(flows.expected_etags(placed_chunks, views.PART_SIZE))
+        ),
     }
     for name in HEADLINE:
         timings[name] = best(lambda: sinks.noop(QUERIES[name](spark, SF_DIR)))

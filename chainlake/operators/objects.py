@@ -74,15 +74,20 @@ def rechunk(
 
     The result depends on the bytes and ``part_size`` alone. A chunk may span
     several parts and a part several chunks; slices meet again in groups of
-    (object, part), each bounded by ``part_size`` and never a whole object.
-    Chunks that already carry their ``offset`` skip the offset join. An empty
-    object has no parts.
+    (object, part), each bounded by ``part_size`` and never a whole object. An
+    empty object has no parts.
+
+    Chunks that carry their ``offset`` skip the offset join, so their bytes are
+    shuffled once and not twice. Where all chunks but an object's last have one
+    length, the offset is ``chunk_no`` times that length. Given offsets are
+    checked: a gap or an overlap inside a part fails the job.
     """
     if part_size < 1:
         raise ValueError("part_size must be positive")
     key = columns(key)
+    given = "offset" in chunks.columns
     located = chunks
-    if "offset" not in chunks.columns:
+    if not given:
         offsets = chunk_offsets(chunks, key, span)
         located = chunks.drop("length").join(offsets, [*key, "chunk_no"])
     length = F.octet_length("data").cast("long")
@@ -99,11 +104,24 @@ def rechunk(
 
     first = whole(F.col("offset"), size)
     last = whole(F.col("offset") + length - 1, size)
-    return (
+    end = F.col("_at") + F.octet_length("_slice")
+    parts = (
         located.filter(length > 0)
         .select(*key, F.inline(F.transform(F.sequence(first, last), slice_of)))
         # Spread by part even where the rows already lie together by object.
         .repartition(*key, "part_no")
         .groupBy(*key, "part_no")
-        .agg(F.expr("listagg(_slice) WITHIN GROUP (ORDER BY _at)").alias("data"))
+        .agg(
+            F.expr("listagg(_slice) WITHIN GROUP (ORDER BY _at)").alias("data"),
+            F.min("_at").alias("_begin"),
+            F.max(end).alias("_end"),
+        )
+    )
+    if not given:
+        return parts.select(*key, "part_no", "data")
+    seamless = (F.col("_begin") == F.col("part_no") * size) & (
+        F.octet_length("data") == F.col("_end") - F.col("_begin")
     )
+    name = F.concat_ws(":", *key, "part_no")
+    broken = F.raise_error(F.concat(F.lit("gap or overlap in part "), name)).cast("binary")
+    return parts.select(*key, "part_no", F.when(seamless, F.col("data")).otherwise(broken).alias("data"))

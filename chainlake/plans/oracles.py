@@ -66,6 +66,9 @@ etags AS (
          count(*) AS parts, CAST(sum(length) AS BIGINT) AS size
   FROM digests GROUP BY object_id)"""
 
+PART_DIGESTS = f"""WITH {PARTS}
+  SELECT object_id, CAST(part_no AS BIGINT) AS part_no, length, md5 FROM digests"""
+
 CATALOG = """
 catalog AS (
   SELECT d.doc_id AS object_id,
@@ -252,8 +255,8 @@ ORACLES: dict[str, str] = {
         SELECT object_id, CAST(part_no AS BIGINT) AS part_no,
                CAST(length(h) // 2 AS BIGINT) AS length, sha256(unhex(h)) AS sha256
         FROM parts""",
-    "part_md5": f"""WITH {PARTS}
-        SELECT object_id, CAST(part_no AS BIGINT) AS part_no, length, md5 FROM digests""",
+    "rechunk_at_offsets": PART_DIGESTS,
+    "part_md5": PART_DIGESTS,
     "composite_etag": f"WITH {PARTS} SELECT object_id, etag, parts, size FROM etags",
     "verify_etag": f"""WITH {PARTS},{MANIFEST},{VERIFIED}
         SELECT object_id, etag, present, verified FROM verified""",

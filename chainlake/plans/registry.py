@@ -253,6 +253,14 @@ def rechunk_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def rechunk_at_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = views.chunks(spark, sf_dir).withColumn(
+        "offset", F.col("chunk_no") * views.CHUNK_SIZE
+    )
+    return integrity.part_md5(objects.rechunk(placed, views.PART_SIZE))
+
+
 @query
 def part_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = objects.rechunk(views.chunks(spark, sf_dir), views.PART_SIZE)

@@ -99,6 +99,13 @@ def test_given_offsets_and_lengths_are_used(spark, rows):
     assert "Join" not in plan and "Window" not in plan
 
 
+@pytest.mark.parametrize("shift", ["chunk_no * 5", "chunk_no * 3", "chunk_no * 4 + 1"])
+def test_wrong_given_offsets_fail(spark, shift):
+    chunks = chunk_table(spark, {1: b"hello world"}, [4]).withColumn("offset", F.expr(shift))
+    with pytest.raises(Exception, match="gap or overlap in part 1:"):
+        objects.rechunk(chunks, 100).collect()
+
+
 def test_length_column_spares_the_bytes(spark, folder):
     path = folder("chunks")
     chunk_table(spark, CONTENTS, [700]).withColumn("length", F.octet_length("data")).write.parquet(path)
