@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import encode, packing
-from .common import table
+from . import encode, language, packing, quality, simhash, token_files, toxicity
+from .common import fold, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +17,62 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {"op1_best_fit_packing": op1_best_fit_packing}
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as ids in binary files, read back from them."""
+    manifest = token_files.write_token_files(
+        table(spark, sf_dir, "documents"), encode.tokenizer_path("byte_bpe_50k.json")
+    )
+    return token_files.read_token_files(manifest).drop("ids")
+
+
+def judged(scored: DataFrame, divisor: int, remainder: int, threshold: float) -> DataFrame:
+    """Scores with the fold of each document and the verdict."""
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold(divisor) == remainder, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt from four folds of five."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return judged(quality.score_quality(docs, labels, fold(5) != 0), 5, 0, 0.3)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from two folds of three."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, fold(3) != 1)
+    return judged(toxicity.score_toxicity(docs.select("doc_id", "text"), model), 3, 1, 0.7)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from three folds of four."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(docs, fold(4) != 2))
+    held_out = F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "ambiguous")
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_best_fit_packing,
+        op3_simhash_near_dedup,
+        op6_token_id_output,
+        op7_quality_classifier,
+        op8_toxicity,
+        op10_language_id,
+    )
+}
 
 #: None of these can be said in SQL: tokenizers, hashes and trained models.
 ORACLES: dict[str, str] = {}
