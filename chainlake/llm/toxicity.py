@@ -25,11 +25,11 @@ from .arrays import LOWER, WORD_BYTES, Rolling, slabs, word_hashes
 from .common import arrow_rows
 
 #: Labelled rows that the model is fitted on at most, about.
-SAMPLE = 12_000
+SAMPLE = 24_000
 #: Sentences with a swapped identity term at most, about; with all, it is the same sample.
 SWAPS = 20_000
 BUCKET_BITS = 20
-L1, SWAP_WEIGHT, ROUNDS = 2e-4, 1.0, 150
+L1, SWAP_WEIGHT, ROUNDS = 1e-3, 1.0, 200
 #: Buckets that fewer sampled texts hold get no weight.
 LEAST_TEXTS = 3
 
