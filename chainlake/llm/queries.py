@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encode, language, packing, quality, simhash, token_files, toxicity
+from . import encode, language, packing, quality, simhash, substring, suffix, token_files, toxicity
 from .common import fold, table
 
 
@@ -17,12 +17,26 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without windows of 20 words that appeared before."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring.remove_repeats(docs)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without strings of 400 bytes that occur twice."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix.remove_repeats(docs)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as ids in binary files, read back from them."""
     manifest = token_files.write_token_files(
@@ -66,7 +80,9 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_best_fit_packing,
+        op2_substring_dedup,
         op3_simhash_near_dedup,
+        op4_suffix_array_dedup,
         op6_token_id_output,
         op7_quality_classifier,
         op8_toxicity,
