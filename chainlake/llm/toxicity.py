@@ -6,8 +6,8 @@ their kind; the loss adds the squared change of the score for each swap, so a
 group's name can't carry blame that belongs to the words around it. An L1 penalty
 leaves weight only on what marks toxic texts, so long clean texts don't add up noise.
 
-The model is fitted on a sample of at most ``SAMPLE`` labelled rows, whatever the
-size of the tables; every text is scored whole.
+The model is fitted on a sample of at most ``SAMPLE`` labelled rows of either class,
+whatever the size of the tables; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .arrays import LOWER, WORD_BYTES, Rolling, slabs, word_hashes
 from .common import arrow_rows
 
-#: Labelled rows that the model is fitted on at most, about.
-SAMPLE = 24_000
+#: Labelled rows of either class that the model is fitted on at most, about.
+SAMPLE = 4_000
 #: Sentences with a swapped identity term at most, about; with all, it is the same sample.
 SWAPS = 20_000
 BUCKET_BITS = 20
@@ -144,13 +144,14 @@ def fit(texts: list[np.ndarray], y: np.ndarray, changes: list[tuple[list[int], l
 
 
 def sample(docs: DataFrame, labels: DataFrame, trains) -> list[tuple[np.ndarray, int, list]]:
-    """Buckets, label and swaps of at most about ``SAMPLE`` labelled texts.
+    """Buckets, label and swaps of about ``SAMPLE`` labelled texts of either class at most.
 
     Which ones, a hash of the ``doc_id`` decides, the same at every run.
     """
-    known = labels.where(trains).where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("double").alias("y"))
-    total = known.count()
-    part = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(min(1.0, SAMPLE / max(1, total)) * 1_000_000)
+    known = labels.where(trains).where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("double").alias("y"))
+    totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    shares = [int(min(1.0, SAMPLE / totals.get(y, 1)) * 1_000_000) for y in (0.0, 1.0)]
+    part = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < F.when(F.col("y") > 0, shares[1]).otherwise(shares[0])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(known.where(part), "doc_id")
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -173,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, trains) -> ToxicityModel:
     """Fit on the labelled rows where the column ``trains`` holds."""
     rows = sample(docs, labels, trains)
     changes = [pair for _, _, pairs in rows for pair in pairs][:SWAPS]
-    return fit([r[0] for r in rows], np.array([float(r[1] > 0) for r in rows]), changes)
+    return fit([r[0] for r in rows], np.array([r[1] for r in rows]), changes)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, column: str = "score") -> DataFrame:
