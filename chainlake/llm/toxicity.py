@@ -1,7 +1,7 @@
 """Toxicity scores that don't move when one group is named instead of another.
 
-A logistic model over the words and word pairs that a text holds, hashed to a fixed
-number of weights. Identity terms in labelled sentences are swapped for others of
+A logistic model over the words that a text holds and how they begin, hashed to a
+fixed number of weights. Identity terms in labelled sentences are swapped for others of
 their kind; the loss adds the squared change of the score for each swap, so a
 group's name can't carry blame that belongs to the words around it. An L1 penalty
 leaves weight only on what marks toxic texts, so long clean texts don't add up noise.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, WORD_BYTES, Rolling, slabs, word_hashes
+from .arrays import BYTE_VALUES, LOWER, WORD_BYTES, Rolling, slabs, word_bounds
 from .common import arrow_rows
 
 #: Labelled rows of either class that the model is fitted on at most, about.
@@ -29,7 +29,9 @@ SAMPLE = 4_000
 #: Sentences with a swapped identity term at most, about; with all, it is the same sample.
 SWAPS = 20_000
 BUCKET_BITS = 20
-L1, SWAP_WEIGHT, ROUNDS = 1e-3, 1.0, 200
+#: Bytes of the beginnings of longer words.
+STEMS = (4, 5, 6)
+L1, SWAP_WEIGHT, ROUNDS = 1e-3, 1.0, 300
 #: Buckets that fewer sampled texts hold get no weight.
 LEAST_TEXTS = 3
 
@@ -47,20 +49,19 @@ IDENTITY_TERMS = [
 ]
 
 
-def word_ids(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of lower-cased words and of pairs of neighbours, and their documents."""
-    hashes, doc, _, _ = word_hashes(LOWER[raw], offsets, WORD_BYTES)
-    pairs = Rolling(hashes).windows(2)
-    inside = doc[1:] == doc[:-1]
-    return hashes, doc, np.where(inside, pairs, 0) if len(hashes) > 1 else pairs
-
-
 def held(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Document and bucket of every distinct word and pair of the texts."""
-    hashes, doc, pairs = word_ids(raw, offsets)
-    inside = doc[1:] == doc[:-1]
-    every = np.concatenate([hashes, pairs[inside]]) >> np.uint64(64 - BUCKET_BITS)
-    keys = np.unique((np.concatenate([doc, doc[1:][inside]]).astype(np.uint64) << np.uint64(BUCKET_BITS)) | every)
+    """Document and bucket of every distinct word and beginning of a word."""
+    low = LOWER[raw]
+    starts, stops = word_bounds(low, offsets, WORD_BYTES)
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    rolling = Rolling(BYTE_VALUES[low])
+    hashes, docs = [rolling.runs(starts, stops)], [doc]
+    for n in STEMS:
+        longer = stops - starts > n
+        hashes.append(rolling.runs(starts[longer], starts[longer] + n))
+        docs.append(doc[longer])
+    doc, bucket = np.concatenate(docs), np.concatenate(hashes) >> np.uint64(64 - BUCKET_BITS)
+    keys = np.unique((doc.astype(np.uint64) << np.uint64(BUCKET_BITS)) | bucket)
     return (keys >> np.uint64(BUCKET_BITS)).astype(np.int64), (keys & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
 
 
