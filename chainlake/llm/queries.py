@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encode, language, packing, quality, simhash, substring, suffix, token_files, toxicity
+from . import decontaminate, encode, language, neighbours, packing, quality, simhash, substring, suffix, token_files, toxicity
 from .common import fold, table
 
 
@@ -37,6 +37,11 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as ids in binary files, read back from them."""
     manifest = token_files.write_token_files(
@@ -68,6 +73,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(toxicity.score_toxicity(docs.select("doc_id", "text"), model), 3, 1, 0.7)
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that leak test items: a row for each document and item."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_leaks(docs.select("doc_id", "text"), benchmark)
+    leaks = found.select("doc_id", F.explode("leaks").alias("leak")).where(F.col("leak.coverage") >= decontaminate.COVERAGE)
+    return leaks.select("doc_id", "leak.item_id", "leak.coverage")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learnt from three folds of four."""
     docs = table(spark, sf_dir, "documents")
@@ -83,9 +96,11 @@ QUERIES = {
         op2_substring_dedup,
         op3_simhash_near_dedup,
         op4_suffix_array_dedup,
+        op5_nearest_neighbours,
         op6_token_id_output,
         op7_quality_classifier,
         op8_toxicity,
+        op9_benchmark_decontamination,
         op10_language_id,
     )
 }
