@@ -52,6 +52,10 @@ class Chunks:
         writer.option("path", scratch_dir(spark, "chunks")).format("parquet").saveAsTable(name)
         self.table = spark.table(name)
 
+    def with_rows(self, added: str) -> T.StructType:
+        """A schema of ``row``, which is a whole row of the documents, and more columns."""
+        return T.StructType([T.StructField("row", self.fields), *T.StructType.fromDDL(added).fields])
+
     def map(self, fn: Callable[[dict, pa.StructArray], Iterator[dict] | list[dict]], schema, answers: list[DataFrame] = ()) -> DataFrame:
         """Rows that ``fn`` makes of each chunk: its number and answers, its documents."""
         met = self.table

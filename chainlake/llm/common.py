@@ -38,6 +38,16 @@ def document_texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def whole_row(docs: DataFrame) -> F.Column:
+    """All columns of a row as one, ``row``, so that no name can clash with a result's."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
+def text_of() -> F.Column:
+    """The text of a ``row``, empty if null."""
+    return F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

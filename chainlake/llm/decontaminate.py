@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, WORD_BYTES, Rolling, slabs, word_hashes
-from .common import settle
+from .common import settle, text_of, whole_row
 
 #: Words of the shortest tile; share of an item under tiles that makes a leak.
 MATCH, COVERAGE = 5, 0.4
@@ -143,22 +143,19 @@ def blocks_of(benchmark: DataFrame, match: int) -> Iterator[list[tuple[int, byte
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, match: int = MATCH) -> DataFrame:
-    """``doc_id, text`` rows and ``leaks``: items with tiles in the text.
+    """Every ``row`` of ``docs`` with ``leaks``: the items with tiles in its text.
 
-    All columns of ``docs`` and ``leaks``, an array of ``item_id, coverage, tiles``,
-    by ``item_id``; ``tiles`` are first word in the text, first word in the item and
+    An array of ``item_id, coverage, tiles`` by ``item_id``; ``tiles`` are first word in the text, first word in the item and
     length. Rows of ``docs`` that repeat get equal results; null and empty texts, and
     an empty benchmark, get none. Items without a word never leak; items of fewer than
     ``match`` words leak where all their words stand together. Items that share an id
     are items of their own.
     """
-    if "leaks" in docs.columns:
-        raise ValueError("there is a column leaks already")
-    text, found = F.coalesce(F.col("text").cast("string"), F.lit("")), None
+    docs, found = docs.select(whole_row(docs)), None
     for n, rows in enumerate(blocks_of(benchmark, match)):
         if n and n % AT_ONCE == 0:
             docs, found = settle(docs.withColumn("leaks", found), "leaks"), F.col("leaks")
-        leaks = leaks_in(text, rows, match)
+        leaks = leaks_in(text_of(), rows, match)
         found = leaks if found is None else F.concat(found, leaks)
     return docs.withColumn("leaks", F.array_sort(found))
 

@@ -149,22 +149,25 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     ranked = pieces.join(firsts, ["length", "part"]).withColumn("_rank", F.col("place") + F.col("_before"))
     ranked = ranked.drop("_before", "part", "place")
+    ranked = ranked.select("doc_id", "piece", *(c for c in ranked.columns if c not in ("doc_id", "piece")))
     schema = ranked.drop("_rank").schema.add("sequence_id", "long").add("offset", "long")
     return ranked.mapInArrow(slots, schema)
 
 
 def pack_documents(
-    docs: DataFrame, path: str, cut: str = "words", end_id: int = END_ID, capacity: int = CAPACITY
+    docs: DataFrame, path: str, cut: str = "words", end_id: int = END_ID, capacity: int = CAPACITY, ids: bool = True
 ) -> DataFrame:
     """Encode, cut and pack whole documents.
 
-    Returns ``doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset``.
+    Returns ``doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset``; without
+    ``ids`` these stay in the stored pieces and out of the shuffle that ranks them.
     Null and empty texts are their end id alone; rows that repeat, or share or lack
     a ``doc_id``, are documents of their own; no documents give no rows. Columns
     besides ``doc_id`` and ``text`` are not read.
     """
     pieces = encode_pieces(docs, path, cut, end_id, capacity).withColumn("ids_crc32", F.crc32("ids"))
-    return pack(settle(pieces, "pieces"), capacity)
+    stored = settle(pieces, "pieces")
+    return pack(stored if ids else stored.drop("ids"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from .common import fold, table
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     packed = packing.pack_documents(
-        table(spark, sf_dir, "documents"), encode.tokenizer_path("word_bpe_49k.json")
+        table(spark, sf_dir, "documents"), encode.tokenizer_path("word_bpe_49k.json"), ids=False
     )
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
@@ -21,7 +21,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without windows of 20 words that appeared before."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = substring.remove_repeats(docs)
-    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without strings of 400 bytes that occur twice."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = suffix.remove_repeats(docs)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,14 +70,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learnt from two folds of three."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels, fold(3) != 1)
-    return judged(toxicity.score_toxicity(docs.select("doc_id", "text"), model), 3, 1, 0.7)
+    return judged(toxicity.score_toxicity(docs.select("doc_id", "text"), model).select("row.doc_id", "score"), 3, 1, 0.7)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that leak test items: a row for each document and item."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.find_leaks(docs.select("doc_id", "text"), benchmark)
-    leaks = found.select("doc_id", F.explode("leaks").alias("leak")).where(F.col("leak.coverage") >= decontaminate.COVERAGE)
+    leaks = found.select("row.doc_id", F.explode("leaks").alias("leak")).where(F.col("leak.coverage") >= decontaminate.COVERAGE)
     return leaks.select("doc_id", "leak.item_id", "leak.coverage")
 
 

@@ -23,10 +23,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, settle
+from .common import arrow_rows, settle, whole_row
 from .components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -57,21 +57,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(majority).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and the fingerprint ``fp`` as a signed long, for every row."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-
-    def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for batch in batches:
-            found = np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in batch["text"]], np.uint64)
-            yield {"doc_id": batch["doc_id"], "fp": found.view(np.int64)}
-
-    return arrow_rows(texts, run, "doc_id long, fp long")
+def fingerprint_of(text: F.Column, shingle: int = SHINGLE) -> F.Column:
+    """The fingerprint of a text column as a signed long; null counts as empty."""
 
+    def prints(texts: pa.Array) -> pa.Array:
+        found = [fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in texts]
+        return pa.array(np.array(found, np.uint64).view(np.int64))
 
-def weights(x: np.ndarray) -> np.ndarray:
-    """Bits set in each number."""
-    return np.bitwise_count(x).astype(np.int64)
+    return F.arrow_udf(prints, "long")(text.cast("string"))
 
 
 class CoveringCode:
@@ -177,6 +170,18 @@ def spanning_links(homes: np.ndarray, guests: np.ndarray, max_bits: int) -> np.n
     return np.array(links, np.int64).reshape(-1, 2)
 
 
+def name_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``fp, root, component_id`` of each distinct ``fp`` of stored ``fp, doc_id`` rows.
+
+    ``root`` is one print of the component, ``component_id`` its smallest ``doc_id``.
+    """
+    firsts = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
+    roots = settle(components(link_fingerprints(firsts.select("fp"), max_bits)), "roots")
+    rooted = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return settle(rooted.join(least, "root").select("fp", "root", "component_id"), "names")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``.
 
@@ -186,10 +191,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     Rows without a ``doc_id`` take part; a component of such rows alone has a null
     id. Other columns are not read.
     """
-    prints = settle(fingerprints(docs, shingle), "prints")
-    firsts = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
-    roots = settle(components(link_fingerprints(firsts.select("fp"), max_bits)), "roots")
-    rooted = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    names = settle(rooted.join(least, "root").select("fp", "component_id"), "names")
+    prints = settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_of(F.col("text"), shingle).alias("fp")), "prints")
+    names = name_components(prints, max_bits)
     return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component one stays.
+
+    It has the smallest ``doc_id``; of rows that share it, one stays. In a component of
+    rows without a ``doc_id`` one stays.
+    """
+    stored = settle(docs.select(whole_row(docs), fingerprint_of(F.col("text"), shingle).alias("fp")), "prints")
+    names = name_components(stored.select("fp", F.col("row.doc_id").cast("long").alias("doc_id")), max_bits)
+    best = stored.join(names, "fp").where(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
+    first = Window.partitionBy("root").orderBy(F.xxhash64("row.text"))
+    return best.withColumn("_n", F.row_number().over(first)).where(F.col("_n") == 1).select("row.*")

@@ -13,7 +13,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from .arrays import BYTE_VALUES, NOT_SPACE, Rolling, finish, slabs, sliding_min, word_bounds
 from .chunks import Chunks, column_of, elsewhere, same_as_next, unpack
@@ -76,7 +75,7 @@ def in_order(keys: np.ndarray, marked: np.ndarray, values: np.ndarray) -> np.nda
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """All columns of ``docs`` and ``n_words, n_removed, kept``.
+    """Every ``row`` of ``docs`` with ``n_words, n_removed, kept``.
 
     Words are runs of characters that are no ASCII white space. A word goes if a
     window over it starts earlier, too: in a document of smaller ``doc_id`` or further
@@ -85,9 +84,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     come one after the other as they are stored, so of equal rows one keeps its words;
     null ids come first.
     """
-    for name in ("n_words", "n_removed", "kept"):
-        if name in docs.columns:
-            raise ValueError(f"there is a column {name} already")
     chunks = Chunks(docs)
 
     def first_level(known, rows):
@@ -148,10 +144,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             removed = np.cumsum(change)[:-1] > 0
             for column, values in zip(out.values(), kept_words(words, removed)):
                 column += values
-        yield {f.name: c for f, c in zip(rows.type, rows.flatten())} | out
+        yield {"row": rows} | out
 
-    schema = T.StructType([*chunks.fields.fields, *T.StructType.fromDDL("n_words long, n_removed long, kept string").fields])
-    return chunks.map(finish_chunk, schema, [repeated, before])
+    return chunks.map(finish_chunk, chunks.with_rows("n_words long, n_removed long, kept string"), [repeated, before])
 
 
 def kept_words(words: Words, removed: np.ndarray) -> tuple[list, list, list]:

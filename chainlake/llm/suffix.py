@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from .arrays import BYTE_VALUES, Rolling, finish, slabs, sliding_min
 from .chunks import Chunks, column_of, covered, elsewhere, same_as_next, unpack
@@ -139,7 +139,7 @@ def decide_pairs(names, extras, chunk):
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """All columns of ``docs`` and ``n_bytes, n_removed, n_spans, spans, kept``.
+    """Every ``row`` of ``docs`` with ``n_bytes, n_removed, n_spans, spans, kept``.
 
     A byte goes if a string of ``length`` bytes over it starts anywhere else, too, in
     another document or in its own; both occurrences go. Strings are judged on the
@@ -147,9 +147,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     offsets, ``kept`` the bytes that stay. Null and empty texts have no bytes. Rows
     that repeat or share a ``doc_id`` are documents of their own.
     """
-    for name in ("n_bytes", "n_removed", "n_spans", "spans", "kept"):
-        if name in docs.columns:
-            raise ValueError(f"there is a column {name} already")
     chunks = Chunks(docs)
 
     def samples(known, rows):
@@ -218,11 +215,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             removed = covered(np.concatenate(gone), length, len(slab.raw))
             for column, values in zip(out.values(), kept_bytes(slab.raw, slab.offsets, removed)):
                 column += values
-        yield {f.name: c for f, c in zip(rows.type, rows.flatten())} | out
+        yield {"row": rows} | out
 
     added = "n_bytes long, n_removed long, n_spans long, spans array<array<long>>, kept binary"
-    schema = T.StructType([*chunks.fields.fields, *T.StructType.fromDDL(added).fields])
-    return chunks.map(cut, schema, [ranked, settled, again])
+    return chunks.map(cut, chunks.with_rows(added), [ranked, settled, again])
+
+
+def whole_characters(kept: str) -> F.Column:
+    """The text in a column of bytes, without characters that were cut in two."""
+
+    def decode(column: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in column.to_pylist()], pa.string())
+
+    return F.arrow_udf(decode, "string")(kept)
 
 
 def kept_bytes(raw: np.ndarray, offsets: np.ndarray, removed: np.ndarray) -> tuple[list, ...]:

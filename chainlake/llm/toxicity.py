@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import BYTE_VALUES, LOWER, WORD_BYTES, Rolling, slabs, word_bounds
-from .common import arrow_rows
+from .common import arrow_rows, text_of, whole_row
 
 #: Labelled rows of either class that the model is fitted on at most, about.
 SAMPLE = 4_000
@@ -178,17 +178,13 @@ def train(docs: DataFrame, labels: DataFrame, trains) -> ToxicityModel:
     return fit([r[0] for r in rows], np.array([r[1] for r in rows]), changes)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, column: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 for every row; null counts as empty.
+def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """Every ``row`` of ``docs`` with a ``score`` from 0 to 1; null counts as empty.
 
-    An empty text has the score of a text without any telling word. All columns stay;
-    ``column`` must be a new one.
+    An empty text has the score of a text without any telling word.
     """
-    if column in docs.columns:
-        raise ValueError(f"there is a column {column} already")
     sent = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
-    score = F.arrow_udf(scorer(sent), "double")
-    return docs.withColumn(column, score(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return docs.select(whole_row(docs)).withColumn("score", F.arrow_udf(scorer(sent), "double")(text_of()))
 
 
 def scorer(sent):
