@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import partial
-
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
-
-try:  # about three times as fast per record as the codec that comes with Arrow
-    import zstandard
-except ImportError:
-    zstandard = None
 
 from ..functions.keys import (
     content_key,
@@ -32,12 +24,20 @@ __all__ = [
     "pack_payload",
     "route_partition",
     "to_sink_record",
+    "unpack_payload",
     "valid_block",
 ]
 
 
+#: Bytes of an account's address.
+ADDRESS_BYTES = 32
+
+
 def valid_block() -> Column:
-    """True if every account and transaction of the block row is readable."""
+    """True if every account and transaction of the block row is readable.
+
+    An address must have 32 bytes, as the route is cut from its first one.
+    """
 
     def bad_transaction(tx: Column) -> Column:
         return tx.isNull() | tx["payload"].isNull() | tx["now"].isNull()
@@ -46,6 +46,7 @@ def valid_block() -> Column:
         return (
             account.isNull()
             | account["addr"].isNull()
+            | (F.octet_length(account["addr"]) != ADDRESS_BYTES)
             | account["transactions"].isNull()
             | F.exists(account["transactions"], bad_transaction)
         )
@@ -98,46 +99,39 @@ def to_sink_record(transactions: DataFrame, value: str = "payload") -> DataFrame
     )
 
 
-def pack_payload(
-    df: DataFrame, codec: str = "zstd", level: int | None = None, column: str = "payload"
-) -> DataFrame:
+#: Compression level of packed payloads.
+PACK_LEVEL = 3
+
+
+def pack_payload(df: DataFrame, level: int = PACK_LEVEL, column: str = "payload") -> DataFrame:
     """Compress each payload on its own; adds ``packed``, ``raw_size``, ``packed_size``.
 
-    Spark has no built-in for this codec, so Arrow batches pass through one
-    codec per task. A record that cannot be packed fails the job.
+    Spark has no function for this codec (Zstandard), so the payloads alone go
+    through Arrow batches; one compressor serves a batch, and every payload becomes
+    a frame of its own. A record that cannot be packed fails the job.
     """
-    schema = StructType(
-        [
-            *df.schema.fields,
-            StructField("packed", BinaryType()),
-            StructField("raw_size", LongType()),
-            StructField("packed_size", LongType()),
-        ]
+
+    def pack(values: pa.Array) -> pa.Array:
+        compress = zstandard.ZstdCompressor(level).compress
+        return pa.array([compress(value) for value in values.to_pylist()], pa.binary())
+
+    packed = df.withColumn("packed", F.arrow_udf(pack, "binary")(F.col(column)))
+    return packed.withColumns(
+        {
+            "raw_size": F.octet_length(column).cast("long"),
+            "packed_size": F.octet_length("packed").cast("long"),
+        }
     )
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = _compressor(codec, level)
-        for batch in batches:
-            raw_values = batch.column(batch.schema.get_field_index(column)).to_pylist()
-            packed_values = [compress(value) for value in raw_values]
-            extra = {
-                "packed": pa.array(packed_values, pa.binary()),
-                "raw_size": pa.array(map(len, raw_values), pa.int64()),
-                "packed_size": pa.array(map(len, packed_values), pa.int64()),
-            }
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *extra.values()],
-                names=[*batch.schema.names, *extra],
-            )
 
-    return df.mapInArrow(pack, schema)
+def unpack_payload(df: DataFrame, column: str = "packed") -> DataFrame:
+    """Add ``unpacked``, the payload in a column of frames."""
 
+    def unpack(values: pa.Array) -> pa.Array:
+        expand = zstandard.ZstdDecompressor().decompress
+        return pa.array([expand(value) for value in values.to_pylist()], pa.binary())
 
-def _compressor(codec: str, level: int | None) -> Callable[[bytes], bytes]:
-    """One codec for a task; every call makes a frame of its own."""
-    if codec == "zstd" and zstandard is not None:
-        return zstandard.ZstdCompressor(3 if level is None else level).compress
-    return partial(pa.Codec(codec, compression_level=level).compress, asbytes=True)
+    return df.withColumn("unpacked", F.arrow_udf(unpack, "binary")(F.col(column)))
 
 
 def bundle(blocks: DataFrame, blocks_per_archive: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,12 +59,14 @@ def shipping_summary(log: DataFrame) -> DataFrame:
     sent = ~F.col("skipped")
     moves_gauge = sent | ~is_archive
     sent_bytes = F.when(is_archive & sent, F.col("bytes"))
-    finished = F.struct("finished_at", "seqno")
+    # Time and number in one value of fixed width keep the aggregate on the hash path.
+    micros = F.unix_micros("finished_at").cast("decimal(18,0)")
+    finished = micros * F.lit(Decimal(2**64)) + F.col("seqno")
     return (
         log.withColumn("workchain", F.when(~is_archive, F.col("workchain")))
         .groupBy("object_type", "workchain")
         .agg(
-            F.max(F.when(moves_gauge, finished))["seqno"].alias("last_seqno"),
+            F.max_by("seqno", F.when(moves_gauge, finished)).alias("last_seqno"),
             F.count(F.lit(1)).alias("objects"),
             F.count_if(~sent).alias("skipped"),
             F.max(F.when(sent, F.col("attempts"))).alias("max_attempts"),

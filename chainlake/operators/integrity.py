@@ -29,18 +29,24 @@ def composite_etag(
     key: str | Sequence[str] = "object_id",
     objects: DataFrame | None = None,
     fan_in: int = DIGEST_FAN_IN,
+    strict: bool = True,
 ) -> DataFrame:
     """``key, etag, parts, size``: MD5 over the raw part digests in part order.
 
     Digests are joined in two steps, runs of ``fan_in`` parts first, so the last
     group of an object holds one short text per run. ``objects`` adds the
-    objects that have no parts; their tag is the MD5 of nothing.
+    objects that have no parts; their tag is the MD5 of nothing. A missing or
+    repeated part, and one that is shorter than others without being the last,
+    fail the job; without ``strict`` the tag of such an object is null.
     """
     key = columns(key)
     runs = digests.groupBy(*key, whole(F.col("part_no"), F.lit(fan_in)).alias("_run")).agg(
         F.expr("listagg(md5, '') WITHIN GROUP (ORDER BY part_no)").alias("_hex"),
         F.count(F.lit(1)).alias("parts"),
         F.sum("length").alias("size"),
+        F.max("part_no").alias("_last"),
+        F.max("length").alias("_full"),
+        F.max_by("length", "part_no").alias("_rest"),
     )
     etags = (
         runs.groupBy(*key)
@@ -48,14 +54,25 @@ def composite_etag(
             F.expr("md5(unhex(listagg(_hex, '') WITHIN GROUP (ORDER BY _run)))").alias("etag"),
             F.sum("parts").alias("parts"),
             F.sum("size").alias("size"),
+            F.max("_last").alias("_last"),
+            F.max("_full").alias("_full"),
+            F.max_by("_rest", "_last").alias("_rest"),
         )
     )
+    complete = (F.col("parts") == F.col("_last") + 1) & (
+        F.col("size") == F.col("_full") * F.col("_last") + F.col("_rest")
+    )
+    name = F.concat_ws(":", *key)
+    lacking = F.raise_error(F.concat(F.lit("parts missing or cut short in object "), name)).cast("string")
+    etag = F.when(complete, F.col("etag"))
+    etag = (etag.otherwise(lacking) if strict else etag).alias("etag")
+    etags = etags.select(*key, etag, "parts", "size")
     if objects is None:
         return etags
     zero = F.lit(0).cast("long")
     return objects.select(*key).join(etags, key, "left").select(
         *key,
-        F.coalesce("etag", F.lit(EMPTY_ETAG)).alias("etag"),
+        F.when(F.col("parts").isNull(), F.lit(EMPTY_ETAG)).otherwise(F.col("etag")).alias("etag"),
         F.coalesce("parts", zero).alias("parts"),
         F.coalesce("size", zero).alias("size"),
     )

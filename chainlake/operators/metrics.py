@@ -4,9 +4,10 @@ A sample has ``ts``, ``metric``, ``value`` and label columns; a label may also
 live in a ``labels`` map. A *series* is one combination of labels. Times in
 results are bucket starts in epoch seconds.
 
-A counter's increase is counted inside each bucket between neighbouring samples
-of a series; a smaller value than before is a reset and counts from zero. There
-is no extrapolation to the edges of the bucket.
+A counter's increase is counted between neighbouring samples of a series, however
+far apart, and belongs to the bucket of the later one; a smaller value than before is
+a reset and counts from zero. So the increases of all buckets add up to the whole
+growth for any length of bucket. Nothing is extrapolated to the edges of a bucket.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ ALL_VALUES = ".*"
 #: Labels that tell series apart when a call does not say otherwise.
 SERIES = ("metric", "instance", "job")
 
-#: Pieces a bucket of one series is split into. It shapes the work and not the
-#: result; a power of two up to 64 divides any bucket of whole seconds.
+#: Pieces a bucket of one series is split into, and pieces that are ordered together.
+#: Both shape the work and not the result; a power of two up to 64 divides any bucket of
+#: whole seconds.
 SLOTS = 64
+PAGE = 65_536
 
 
 @dataclass(frozen=True)
@@ -64,7 +67,8 @@ def select_series(
 
     A matcher is a value (equal), a list of values (any of them) or
     :class:`Matching`. The pattern ``.*`` matches every series, with or without
-    the label. Equality and lists are pushed into the scan.
+    the label, and an empty text those without it. Equality and lists are pushed
+    into the scan.
     """
     if isinstance(metric, str):
         selected = df.filter(F.col("metric") == metric)
@@ -78,11 +82,13 @@ def select_series(
             if wanted.pattern == ALL_VALUES:
                 continue
             text = F.coalesce(column.cast("string"), F.lit(""))
-            selected = selected.filter(text.rlike(f"^(?:{wanted.pattern})$"))
+            selected = selected.filter(text.rlike(f"\\A(?:{wanted.pattern})\\z"))
         elif isinstance(wanted, (list, tuple)):
-            selected = selected.filter(column.isin(*wanted))
+            matches = column.isin(*wanted)
+            selected = selected.filter(matches | column.isNull() if "" in wanted else matches)
         elif isinstance(wanted, (str, int, float)):
-            selected = selected.filter(column == wanted)
+            matches = column == wanted
+            selected = selected.filter(matches | column.isNull() if wanted == "" else matches)
         else:
             raise TypeError(f"matcher of {name!r} must be a value, a list or Matching")
     return selected
@@ -117,10 +123,11 @@ def series_increase(
 ) -> DataFrame:
     """``bucket, series…, increase``: the increase of each series per bucket.
 
-    Each bucket of a series is split into time slots, whose samples are ordered
-    apart from each other; only (first, last, increase) of a slot goes on. So
-    neither a busy series nor a busy bucket has to be sorted in one task. Slots
-    are numbered through from the epoch, so one number stands for both.
+    A bucket has a row if one of its samples has another before it. Each bucket of a
+    series is split into time slots, whose samples are ordered apart from each other;
+    only (first, last, increase) of a slot goes on. Slots are ordered in pages of
+    bounded length, and pages by their last values. So neither a busy series nor a
+    long one has to be sorted in one task.
     """
     series = columns(series)
     seconds = seconds_of(bucket)
@@ -139,15 +146,31 @@ def series_increase(
             F.max(F.when(F.col("_after").isNull(), F.col("value"))).alias("_last"),
             F.sum(_gain(F.col("value"), F.col("_before"))).alias("_inside"),
         )
-        .withColumn("bucket", floor_div(F.col("_slot"), SLOTS) * seconds)
+        .withColumn("_page", floor_div(F.col("_slot"), PAGE))
+        .repartition("_page", *series)
+    )
+    over_slots = Window.partitionBy("_page", *series).orderBy("_slot")
+    over_pages = Window.partitionBy(*series).orderBy("_page")
+    inside = pieces.withColumn("_step", _gain(F.col("_first"), F.lag("_last").over(over_slots)))
+    pages = pieces.groupBy("_page", *series).agg(
+        F.min("_slot").alias("_slot"),
+        F.min_by("_first", "_slot").alias("_first"),
+        F.max_by("_last", "_slot").alias("_last"),
     )
-    over_slots = Window.partitionBy("bucket", *series).orderBy("_slot")
-    step = _gain(F.col("_first"), F.col("_before"))
+    between = pages.withColumn("_step", _gain(F.col("_first"), F.lag("_last").over(over_pages)))
     zero = F.lit(0.0)
+    gained = F.when(
+        F.col("_inside").isNotNull() | F.col("_step").isNotNull(),
+        F.coalesce("_inside", zero) + F.coalesce("_step", zero),
+    )
+    steps = inside.select("_slot", *series, gained.alias("_gain")).unionByName(
+        between.select("_slot", *series, F.col("_step").alias("_gain"))
+    )
     return (
-        pieces.withColumn("_before", F.lag("_last").over(over_slots))
+        steps.filter(F.col("_gain").isNotNull())
+        .withColumn("bucket", floor_div(F.col("_slot"), SLOTS) * seconds)
         .groupBy("bucket", *series)
-        .agg(F.sum(F.coalesce("_inside", zero) + F.coalesce(step, zero)).alias("increase"))
+        .agg(F.sum("_gain").alias("increase"))
     )
 
 
@@ -177,36 +200,6 @@ def sum_rate(
     return grown.withColumn("rate", rate).drop("increase")
 
 
-def counter(
-    df: DataFrame,
-    metric: str | DataFrame | Sequence,
-    matchers: Mapping | None = None,
-    by: str | Sequence[str] = "instance",
-    bucket: str | int = RATE_INTERVAL,
-    **options,
-) -> list[DataFrame]:
-    """Rates of a counter, of a list of counters, or results taken as they are.
-
-    A list of names is always grouped by ``instance``; ``by`` applies to a single
-    name only. Mixed lists are a ``ValueError``, other types a ``TypeError``.
-    """
-
-    def rate(name: str, labels: str | Sequence[str]) -> DataFrame:
-        return sum_rate(select_series(df, name, matchers), labels, bucket, **options)
-
-    if isinstance(metric, str):
-        return [rate(metric, by)]
-    if isinstance(metric, DataFrame):
-        return [metric]
-    if isinstance(metric, (list, tuple)):
-        if all(isinstance(m, str) for m in metric):
-            return [rate(m, "instance") for m in metric]
-        if all(isinstance(m, DataFrame) for m in metric):
-            return list(metric)
-        raise ValueError("a list must hold names only or results only")
-    raise TypeError("metric must be a name, a result or a list of either")
-
-
 def _with_labels(series: Sequence[str], by: Sequence[str]) -> list[str]:
     """Series labels plus the grouping labels they lack."""
     return [*columns(series), *(name for name in by if name not in series)]
@@ -517,7 +510,9 @@ def _cell() -> Column:
 def _exact_quantile(
     rows: DataFrame, share: float, by: list[str], accuracy: int
 ) -> DataFrame:
-    salted = rows.withColumn("_salt", F.pmod(F.hash("value"), F.lit(SALTS)))
+    # By place in the scan, so that equal values are spread, too; the scan gives a
+    # repeated task the same places.
+    salted = rows.withColumn("_salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
 
     def with_facts(facts: DataFrame) -> DataFrame:
         copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

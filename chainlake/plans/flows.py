@@ -50,11 +50,12 @@ class ShipConfig:
     are the bound. ``max_attempts`` is ours; None repeats without limit.
     """
 
+    # Names and defaults of the settings files that users have.
     retry_delay: str | int = "1 second"
     max_concurrency: int | None = None
     enable_duplication: bool = False
     last_archives_to_upload: int = catalog_ops.DEFAULT_TAIL
-    max_attempts: int | None = 5
+    max_attempts: int | None = None
 
     @classmethod
     def of(cls, settings: ShipConfig | Mapping[str, object] | None) -> ShipConfig:
@@ -92,9 +93,10 @@ def ship(
     stores them with their digests in a folder of its own, reads the folder back
     and compares tag and size. What does not match goes into the next attempt.
     Objects of unknown size are never tried: ``continue`` leaves them out,
-    ``stop`` raises. Returns ``key, etag, parts, size, attempt`` and raises if
-    objects remain after the last attempt. The driver only learns whether some
-    remain.
+    ``stop`` raises. Returns ``key, etag, parts, size, attempt, reason``. Attempts go
+    on without limit unless one is set; then the objects that remain are returned,
+    too, with the ``reason`` ``unverified``, their expected size and no tag, and
+    ``stop`` raises instead. The driver only learns whether some remain.
     """
     key, config = columns(key), ShipConfig.of(config)
     missing = catalog_ops.skip_existing(catalog, manifest, config.enable_duplication, key)
@@ -116,22 +118,32 @@ def ship(
         )
         put(parts, f"{path}/parts/{attempt}")
         stored = spark.read.schema(parts.schema).parquet(f"{path}/parts/{attempt}")
-        promised = integrity.composite_etag(stored.drop("data"), key, todo)
-        reported = integrity.composite_etag(integrity.part_md5(stored, key), key, todo)
+        promised = integrity.composite_etag(stored.drop("data"), key, todo, strict=False)
+        digests = integrity.part_md5(stored, key)
+        reported = integrity.composite_etag(digests, key, todo, strict=False)
         checked = integrity.verify(promised, integrity.manifest_of(reported, key), key)
         verified = checked.join(todo, key).filter(
             F.col("verified") & (F.col("size") == F.col("_size"))
         )
         store(verified.select(*key, "etag", "parts", "size"), f"{path}/verified/{attempt}")
-        now = spark.read.parquet(f"{path}/verified/{attempt}").withColumn(
-            "attempt", F.lit(attempt)
+        now = spark.read.parquet(f"{path}/verified/{attempt}").withColumns(
+            {"attempt": F.lit(attempt), "reason": F.lit(None).cast("string")}
         )
         done = now if done is None else done.unionByName(now)
         left = todo.join(now, key, "left_anti")
         if left.isEmpty():
             return done
         if attempt == config.max_attempts:
-            raise RuntimeError(f"objects left unverified after {attempt} attempts")
+            if on_error == "stop":
+                raise RuntimeError(f"objects left unverified after {attempt} attempts")
+            rest = {
+                "etag": F.lit(None).cast("string"),
+                "parts": F.lit(None).cast("long"),
+                "size": F.col("_size"),
+                "attempt": F.lit(attempt),
+                "reason": F.lit("unverified"),
+            }
+            return done.unionByName(left.withColumns(rest).drop("_size"))
         log.warning("attempt %d left objects to ship again", attempt)
         time.sleep(seconds_of(config.retry_delay))
 

@@ -5,17 +5,18 @@ Common table expressions repeat the views; they are put together as text only.
 
 from __future__ import annotations
 
+from ..operators.metrics import ACCEPTED_QUANTILES
 from .registry import TAIL, TIME_BOUNDS, VALUE_BOUNDS
 from .views import (
     BLOCKS_PER_ARCHIVE,
     CHUNK_SIZE,
     OBJECTS_PER_ARCHIVE,
     PART_SIZE,
+    SHARD_BITS,
 )
 
 DAY = 86400
 WEEK = 7 * DAY
-WATERMARK = 60
 
 EPOCH = "CAST(floor(epoch({})) AS BIGINT)"
 
@@ -29,7 +30,8 @@ lines AS (
 
 TRANSACTIONS = f"""{LINES},
 transactions AS (
-  SELECT CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 0 END AS workchain, lines.*
+  SELECT CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 0 END AS workchain, lines.*,
+         CAST(('0x' || substr(sha256(payload), 1, 1))::INTEGER >> {4 - SHARD_BITS} AS BIGINT) AS shard
   FROM lines JOIN orders ON o_orderkey = seqno)"""
 
 RECORDS = f"""{TRANSACTIONS},
@@ -104,18 +106,16 @@ def bucket(seconds: int, ts: str = "ts") -> str:
 
 
 def increases(seconds: int = DAY) -> str:
-    """CTE of the reset-aware increase of each series per bucket."""
+    """CTE of the reset-aware increase of each series per bucket, over raw samples."""
     return f"""{SAMPLES},
 stepped AS (
   SELECT *, {bucket(seconds)} AS bucket,
-         lag(value) OVER (PARTITION BY metric, instance, job, {bucket(seconds)}
-                          ORDER BY ts, sample_id) AS previous
+         lag(value) OVER (PARTITION BY metric, instance, job ORDER BY ts, sample_id) AS previous
   FROM samples WHERE value IS NOT NULL),
 increases AS (
   SELECT bucket, metric, instance, job,
-         sum(CASE WHEN previous IS NULL THEN 0 WHEN value < previous THEN value
-                  ELSE value - previous END) AS increase
-  FROM stepped GROUP BY bucket, metric, instance, job)"""
+         sum(CASE WHEN value < previous THEN value ELSE value - previous END) AS increase
+  FROM stepped WHERE previous IS NOT NULL GROUP BY bucket, metric, instance, job)"""
 
 
 LATEST = f"""{SAMPLES},
@@ -163,10 +163,6 @@ def cells(source: str, bounds: list, seconds: int, by: str, ts: str = "ts") -> s
   FROM {source} GROUP BY ALL"""
 
 
-def closed_days(table: str = "samples") -> str:
-    return f"bucket + {DAY} <= (SELECT floor(epoch(max(ts))) FROM {table}) - {WATERMARK}"
-
-
 def quantile(q: float, by: str) -> str:
     keys = f"{by}, " if by else ""
     group = f"GROUP BY {by}" if by else ""
@@ -184,8 +180,9 @@ CUMULATIVE = " UNION ALL ".join(
 
 ORACLES: dict[str, str] = {
     "block_source": f"""WITH {TRANSACTIONS}
-        SELECT workchain, seqno, count(DISTINCT addr) AS accounts, count(*) AS transactions
-        FROM transactions GROUP BY workchain, seqno""",
+        SELECT workchain, shard, seqno, count(DISTINCT addr) AS accounts,
+               count(*) AS transactions
+        FROM transactions GROUP BY workchain, shard, seqno""",
     "merge_sources": """WITH sources AS (
           SELECT o_orderkey AS seqno, 0 AS priority,
                  concat_ws('|', 'archive', o_orderstatus, o_orderpriority) AS payload
@@ -219,7 +216,7 @@ ORACLES: dict[str, str] = {
                CAST(chunk_no * {CHUNK_SIZE} AS BIGINT) AS "offset"
         FROM chunks""",
     "flatten_transactions": f"""WITH {TRANSACTIONS}
-        SELECT workchain, seqno, addr, lt, now, payload FROM transactions""",
+        SELECT workchain, shard, seqno, addr, lt, now, payload FROM transactions""",
     "content_key": f"WITH {LINES} SELECT seqno, lt, sha256(payload) AS key FROM lines",
     "route_partition": f"""WITH {TRANSACTIONS}
         SELECT workchain, seqno, addr,
@@ -263,6 +260,9 @@ ORACLES: dict[str, str] = {
     "skip_existing": f"""WITH {PARTS},{MANIFEST},{CATALOG}
         SELECT object_id, size FROM catalog
         WHERE object_id NOT IN (SELECT object_id FROM manifest)""",
+    "skip_existing_unchecked": f"""WITH {PARTS},{MANIFEST},{CATALOG}
+        SELECT object_id, size FROM catalog
+        WHERE object_id % 3 = 0 OR object_id NOT IN (SELECT object_id FROM manifest)""",
     "pending_set": f"""WITH {PARTS},{MANIFEST},{VERIFIED},{CATALOG}
         SELECT c.object_id, c.size, v.etag, e.parts,
                CASE WHEN NOT present THEN 'absent' WHEN e_tag IS NULL THEN 'no_tag'
@@ -271,12 +271,12 @@ ORACLES: dict[str, str] = {
         JOIN etags e ON e.object_id = c.object_id
         WHERE c.size IS NOT NULL AND NOT verified""",
     "ship_until_verified": f"""WITH {PARTS},{MANIFEST},{CATALOG}
-        SELECT e.object_id, etag, parts, e.size, CAST(1 AS INTEGER) AS attempt
+        SELECT e.object_id, etag, parts, e.size, CAST(1 AS INTEGER) AS attempt, CAST(NULL AS VARCHAR) AS reason
         FROM etags e JOIN catalog c ON c.object_id = e.object_id
         WHERE c.size IS NOT NULL
           AND e.object_id NOT IN (SELECT object_id FROM manifest)""",
     "ship_committed_tail": f"""WITH {PARTS},{MANIFEST},{CATALOG}
-        SELECT e.object_id, etag, parts, e.size, CAST(1 AS INTEGER) AS attempt
+        SELECT e.object_id, etag, parts, e.size, CAST(1 AS INTEGER) AS attempt, CAST(NULL AS VARCHAR) AS reason
         FROM etags e
         JOIN (SELECT * FROM catalog ORDER BY object_id DESC LIMIT {TAIL}) c
           ON c.object_id = e.object_id
@@ -333,16 +333,16 @@ ORACLES: dict[str, str] = {
     "sum_increase": f"""WITH {increases()}
         SELECT bucket, metric, job, round(sum(increase), 9) AS increase
         FROM increases GROUP BY bucket, metric, job""",
-    "counter_rates": f"""WITH {increases()}
-        SELECT bucket, instance, metric, round(sum(increase) / {DAY}, 9) AS rate
-        FROM increases WHERE metric IN ('error', 'signup')
-        GROUP BY bucket, instance, metric""",
     "stream_sum_rate": f"""WITH {increases()}
         SELECT bucket, metric, job, round(sum(increase) / {DAY}, 9) AS rate
-        FROM increases WHERE {closed_days()} GROUP BY bucket, metric, job""",
-    "stream_heatmap": f"""WITH {SAMPLES}
-        SELECT * FROM ({cells("samples", VALUE_BOUNDS, DAY, "metric")})
-        WHERE {closed_days()}""",
+        FROM increases GROUP BY bucket, metric, job""",
+    "stream_heatmap": f"WITH {SAMPLES} {cells('samples', VALUE_BOUNDS, DAY, 'metric')}",
+    "summary_quantile": f"""WITH {SAMPLES}
+        SELECT sample_id, instance, job, value FROM samples
+        WHERE metric = 'click' AND kind % 7 = {ACCEPTED_QUANTILES.index("0.95")}""",
+    "stored_count_rate": f"""WITH {increases()}
+        SELECT bucket, job, round(sum(increase) / {DAY}, 9) AS rate
+        FROM increases WHERE metric = 'view' GROUP BY bucket, job""",
     "percent_ratio": f"""WITH {sided("click", "view", ["instance"])}
         SELECT bucket, instance, round(l / nullif(r, 0) * 100, 9) AS percent FROM sides""",
     "hit_rate": f"""WITH {sided("error", "view", [])}
@@ -368,20 +368,19 @@ ORACLES: dict[str, str] = {
           SELECT *, CAST(kind - kind % 25 AS DOUBLE) AS le, {bucket(DAY)} AS bucket
           FROM samples WHERE metric = 'view' AND value IS NOT NULL),
         stepped AS (
-          SELECT *, lag(value) OVER (PARTITION BY instance, job, le, bucket
+          SELECT *, lag(value) OVER (PARTITION BY instance, job, le
                                      ORDER BY ts, sample_id) AS previous
           FROM counters)
         SELECT bucket, le,
-               round(sum(CASE WHEN previous IS NULL THEN 0 WHEN value < previous THEN value
+               round(sum(CASE WHEN value < previous THEN value
                               ELSE value - previous END) / {DAY}, 9) AS rate
-        FROM stepped GROUP BY bucket, le""",
+        FROM stepped WHERE previous IS NOT NULL GROUP BY bucket, le""",
     "quantile_series": quantile(0.95, "metric"),
     "quantile_by_instance": quantile(0.999, "instance"),
     "quantile_global": quantile(0.5, ""),
-    # The sketch is exact while a group is small against its accuracy.
+    # Every sketched value must have a rank within the stated error.
     "quantile_sketch": f"""WITH {SAMPLES}
-        SELECT instance, quantile_disc(value, 0.95) AS value
-        FROM samples GROUP BY instance""",
+        SELECT instance, true AS within FROM samples WHERE value IS NOT NULL GROUP BY instance""",
     "count_rate": f"""WITH {SAMPLES}
         SELECT {bucket(DAY)} AS bucket, metric, job, count(*) AS observations,
                round(count(*) / {DAY}, 9) AS rate

@@ -15,8 +15,8 @@ PART_SIZE = 1024
 BLOCKS_PER_ARCHIVE = 1000
 OBJECTS_PER_ARCHIVE = 100
 
-#: Transactions in one block row; an order with more lines is spread over shards.
-TRANSACTIONS_PER_BLOCK = 10_000
+#: Bits of the payload's digest that name the shard.
+SHARD_BITS = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,15 +41,21 @@ def address(part: Column | str) -> Column:
     return F.unhex(F.sha2(part.cast("string").cast("binary"), 256))
 
 
+def shard() -> Column:
+    """Shard of a line: the leading bits of its payload's SHA-256."""
+    digit = F.conv(F.substring(F.sha2("payload", 256), 1, 1), 16, 10).cast("long")
+    return F.shiftright(digit, 4 - SHARD_BITS)
+
+
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line: ``seqno, part, lt, now, payload``."""
+    """One row per line: ``seqno, part, lt, now, payload, shard``."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("seqno"),
         F.col("l_partkey").alias("part"),
         F.col("l_linenumber").cast("long").alias("lt"),
         F.unix_seconds(utc_timestamp("l_shipdate")).alias("now"),
         payload().alias("payload"),
-    )
+    ).withColumn("shard", shard())
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,32 +74,18 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested blocks, one per order that has lines.
+    """Nested blocks: one per order and shard that has lines.
 
-    As a loaded network splits its shards, an order with very many lines is
-    spread over several shards, so that no row or group grows without bound.
-    The number that spreads the lines is taken right at the scan, where a
-    repeated task sees the same rows in the same order.
+    A line's own content names its shard, whatever the size of its order, so a
+    repeated task and the SQL check come to the same blocks.
     """
-    numbered = part_lines(spark, sf_dir).withColumn(
-        "_n", F.monotonically_increasing_id()
-    )
-    heights = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("seqno"))
-        .agg(F.count(F.lit(1)).alias("_lines"))
-    )
-    shards = F.ceil(F.col("_lines") / TRANSACTIONS_PER_BLOCK)
-    orders = (
-        table(spark, sf_dir, "orders")
-        .select(F.col("o_orderkey").alias("seqno"), workchain().alias("workchain"))
-        .join(heights, "seqno")
-        .select("seqno", "workchain", shards.alias("_shards"))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("seqno"), workchain().alias("workchain")
     )
     block = ["workchain", "shard", "seqno"]
     return (
-        numbered.join(orders, "seqno")
-        .withColumn("shard", F.pmod("_n", "_shards").cast("long"))
+        part_lines(spark, sf_dir)
+        .join(orders, "seqno")
         .repartition(*block)
         .groupBy(*block, "part")
         .agg(F.collect_list(F.struct("lt", "now", "payload")).alias("transactions"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -37,7 +39,9 @@ def get_session(
 
 @lru_cache(maxsize=1)
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="chainlake-")
+    root = tempfile.mkdtemp(prefix="chainlake-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

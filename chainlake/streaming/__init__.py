@@ -1,13 +1,16 @@
 """Streaming forms of the operators that need more than the batch function."""
 
 from .publish import publish_stream
-from .rates import stream_sum_increase, stream_sum_rate
-from .state import follow_state, read_state
+from .rates import follow_heatmap, follow_samples, read_heatmap, read_rate
+from .state import compact_state, follow_state, read_state
 
 __all__ = [
+    "compact_state",
+    "follow_heatmap",
+    "follow_samples",
     "follow_state",
     "publish_stream",
+    "read_heatmap",
+    "read_rate",
     "read_state",
-    "stream_sum_increase",
-    "stream_sum_rate",
 ]

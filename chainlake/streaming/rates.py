@@ -1,99 +1,83 @@
-"""Counter rates on a stream of samples.
+"""Rates and histograms over a stream of samples, complete at every moment.
 
-``lag`` is not available on streams. The same result comes from three built-in
-event-time aggregations: samples of one series gather inside a short slot, slots
-inside a bucket, and series inside a label group. Each closes when the watermark
-passes it, so late samples within the delay are put in order first and later
-ones are dropped. State is bounded by the open slots and buckets.
+A micro-batch is logged under its number, so a repeated one replaces itself, and what
+was logged is folded on reading with the batch operators. Buckets still open are there
+with what has come so far; a late sample counts as soon as it comes. Nothing is kept
+between batches, so there is no watermark that could drop a sample.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import seconds_of
 from ..operators.common import columns
-from ..operators.metrics import RATE_INTERVAL, SERIES
+from ..operators.metrics import RATE_INTERVAL, SERIES, heatmap, sum_rate
+from ..sinks.files import append_batch
 
 
-def _steps(items: Column, before: str, after: str) -> Column:
-    """Sum of the gains between neighbours of an ordered array."""
+def _follow(rows: DataFrame, fold, path: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    def write(batch: DataFrame, number: int) -> None:
+        append_batch(fold(batch), path, number)
 
-    def gain(previous: Column, current: Column) -> Column:
-        old, new = previous[before], current[after]
-        return F.when(new < old, new).otherwise(new - old)
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
-    count = F.size(items)
-    pairs = F.zip_with(
-        F.slice(items, F.lit(1), count - 1), F.slice(items, F.lit(2), count - 1), gain
-    )
-    return F.aggregate(pairs, F.lit(0.0), lambda total, step: total + step)
 
-
-def stream_sum_increase(
+def follow_samples(
     samples: DataFrame,
+    path: str,
+    checkpoint: str,
+    series: Sequence[str] = SERIES,
+    tie: str | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Log what rates need of the samples: labels, time, tie-break and value."""
+    names = dict.fromkeys([*columns(series), "ts", *([tie] if tie else []), "value"])
+    rows = samples.filter(F.col("value").isNotNull()).select(*names)
+    return _follow(rows, lambda batch: batch, path, checkpoint, available_now)
+
+
+def read_rate(
+    spark: SparkSession,
+    path: str,
     by: str | Sequence[str] = "instance",
     bucket: str | int = RATE_INTERVAL,
-    slot: str | int = "1 second",
     series: Sequence[str] = SERIES,
     tie: str | None = None,
-    watermark: str = "1 minute",
 ) -> DataFrame:
-    """``bucket, by…, increase`` in append mode, equal to the batch form.
-
-    ``bucket`` must be a multiple of ``slot``; the slot bounds how many samples
-    of a series are held together.
-    """
-    bucket_seconds, slot_seconds = seconds_of(bucket), seconds_of(slot)
-    if bucket_seconds % slot_seconds:
-        raise ValueError("bucket must be a multiple of slot")
-    by = columns(by)
-    labels = [*columns(series), *(name for name in by if name not in series)]
-    fields = ["ts", *([tie] if tie else []), "value"]
-    slots = (
-        samples.withWatermark("ts", watermark)
-        .filter(F.col("value").isNotNull())
-        .groupBy(F.window("ts", f"{slot_seconds} seconds"), *labels)
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_xs"))
-        .select(
-            "window",
-            *labels,
-            F.struct(
-                F.col("window.start").alias("at"),
-                F.col("_xs")[0]["value"].alias("first"),
-                F.element_at("_xs", -1)["value"].alias("last"),
-                _steps(F.col("_xs"), "value", "value").alias("inside"),
-            ).alias("_piece"),
-        )
-    )
-    buckets = (
-        slots.groupBy(F.window("window", f"{bucket_seconds} seconds"), *labels)
-        .agg(F.array_sort(F.collect_list("_piece")).alias("_xs"))
-        .select(
-            "window",
-            *labels,
-            (
-                _steps(F.col("_xs"), "last", "first")
-                + F.aggregate("_xs", F.lit(0.0), lambda total, x: total + x["inside"])
-            ).alias("_gain"),
-        )
-    )
-    return (
-        buckets.groupBy("window", *by)
-        .agg(F.sum("_gain").alias("increase"))
-        .select(F.unix_seconds("window.start").alias("bucket"), *by, "increase")
-    )
-
-
-def stream_sum_rate(
+    """``bucket, by…, rate`` of all samples logged so far."""
+    return sum_rate(spark.read.parquet(path).drop("batch_id"), by, bucket, series, tie)
+
+
+def follow_heatmap(
     samples: DataFrame,
-    by: str | Sequence[str] = "instance",
+    path: str,
+    checkpoint: str,
+    bounds: Sequence[float],
+    bucket: str | int = RATE_INTERVAL,
+    by: str | Sequence[str] = (),
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Log the counts of each micro-batch: a row for each cell it has samples of."""
+
+    def cells(batch: DataFrame) -> DataFrame:
+        return heatmap(batch, bounds, bucket, by).drop("rate")
+
+    return _follow(samples, cells, path, checkpoint, available_now)
+
+
+def read_heatmap(
+    spark: SparkSession,
+    path: str,
     bucket: str | int = RATE_INTERVAL,
-    **options,
+    by: str | Sequence[str] = (),
 ) -> DataFrame:
-    """``bucket, by…, rate`` on a stream; options as :func:`stream_sum_increase`."""
-    grown = stream_sum_increase(samples, by, bucket, **options)
-    return grown.withColumn("rate", F.col("increase") / seconds_of(bucket)).drop("increase")
+    """``bucket, by…, le, observations, rate`` of all counts logged so far."""
+    cells = spark.read.parquet(path).groupBy("bucket", *columns(by), "le")
+    total = cells.agg(F.sum("observations").alias("observations"))
+    return total.withColumn("rate", F.col("observations") / seconds_of(bucket))

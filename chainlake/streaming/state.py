@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.state import latest_state
 from ..sinks.files import append_batch
 
+#: Batches after which the log is folded into a snapshot.
+COMPACT_EVERY = 100
+
 
 def follow_state(
     changes: DataFrame,
@@ -18,16 +23,21 @@ def follow_state(
     key: str | Sequence[str] = "account",
     order: str | Sequence[str] = "seqno",
     available_now: bool = True,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Fold each micro-batch to its latest rows and log them under ``path``.
 
     The log holds at most one row per key and batch, under the number of the
     batch, so a repeated batch replaces itself. No state is kept between batches;
-    :func:`read_state` folds the log.
+    :func:`read_state` folds the log. After every ``compact_every`` batches the log
+    is folded into a snapshot, and reading takes the newest snapshot and what came
+    after it, so that it does not get slower with the age of the log.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        append_batch(latest_state(batch, key, order), path, number)
+        append_batch(latest_state(batch, key, order), f"{path}/log", number)
+        if compact_every and (number + 1) % compact_every == 0:
+            compact_state(batch.sparkSession, path, number, key, order)
 
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
@@ -42,4 +52,31 @@ def read_state(
     order: str | Sequence[str] = "seqno",
 ) -> DataFrame:
     """State at the end of the log written by :func:`follow_state`."""
-    return latest_state(spark.read.parquet(path).drop("batch_id"), key, order)
+    log = spark.read.parquet(f"{path}/log")
+    newest = _newest_snapshot(spark, path)
+    if newest is None:
+        return latest_state(log.drop("batch_id"), key, order)
+    rest = log.filter(F.col("batch_id") > newest).drop("batch_id")
+    snapshot = spark.read.schema(rest.schema).parquet(f"{path}/snapshot-{newest}")
+    return latest_state(snapshot.unionByName(rest), key, order)
+
+
+def compact_state(
+    spark: SparkSession,
+    path: str,
+    number: int,
+    key: str | Sequence[str] = "account",
+    order: str | Sequence[str] = "seqno",
+) -> None:
+    """Write the state after batch ``number`` as a snapshot; the log stays."""
+    read_state(spark, path, key, order).write.mode("overwrite").parquet(f"{path}/snapshot-{number}")
+    done = spark.createDataFrame([(number,)], "number long").coalesce(1)
+    done.write.mode("append").parquet(f"{path}/snapshots")
+
+
+def _newest_snapshot(spark: SparkSession, path: str) -> int | None:
+    """Number of the last snapshot that was written to its end."""
+    try:
+        return spark.read.schema("number long").parquet(f"{path}/snapshots").agg(F.max("number")).first()[0]
+    except AnalysisException:
+        return None

@@ -105,11 +105,16 @@ def test_ship_can_stop_on_an_unknown_size(spark, folder, shipment):
         flows.ship(spark, *shipment, folder("store"), 1024, on_error="stop")
 
 
-def test_ship_gives_up_on_what_never_verifies(spark, folder, shipment):
+def test_ship_gives_up_on_what_never_verifies(spark, rows, folder, shipment):
     wrong, chunks, manifest = shipment
     wrong = wrong.filter("object_id = 1").selectExpr("object_id", "size + 1 AS size")
+    limit = {"max_attempts": 2, "retry_delay": "1 second"}
     with pytest.raises(RuntimeError, match="after 2 attempts"):
-        flows.ship(spark, wrong, chunks, manifest, folder("store"), 1024, {"max_attempts": 2})
+        flows.ship(spark, wrong, chunks, manifest, folder("store"), 1024, limit, on_error="stop")
+    right = shipment[0].filter("object_id = 3")
+    done = flows.ship(spark, wrong.unionByName(right.select(wrong.columns)), chunks, manifest, folder("store"), 1024, limit)
+    assert rows(done, "object_id", "attempt", "reason", "etag")[0] == (1, 2, "unverified", None)
+    assert rows(done, "object_id", "attempt", "reason")[1] == (3, 1, None)
 
 
 def test_shipping_summary(spark, rows):

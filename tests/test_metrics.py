@@ -101,30 +101,28 @@ def test_selection_reaches_the_scan(spark, counters, folder):
 
 def test_increase_counts_resets_from_zero(counters, rows):
     grown = metrics.sum_increase(counters.filter("metric = 'hit'"), bucket=10)
-    assert rows(grown) == [(0, 1, 9.0), (0, 2, 2.0), (10, 1, 0.0)]
+    assert rows(grown) == [(0, 1, 9.0), (0, 2, 2.0), (10, 1, 96.0)]
 
 
 def test_rate_by_labels_and_over_all(counters, rows):
     hits = counters.filter("metric = 'hit'")
-    assert rows(metrics.sum_rate(hits)) == [(0, 1, 0.9), (0, 2, 0.2), (10, 1, 0.0)]
-    assert rows(metrics.sum_rate(hits, by=[])) == [(0, 1.1), (10, 0.0)]
+    assert rows(metrics.sum_rate(hits)) == [(0, 1, 0.9), (0, 2, 0.2), (10, 1, 9.6)]
+    assert rows(metrics.sum_rate(hits, by=[])) == [(0, 1.1), (10, 9.6)]
 
 
 def test_grouping_label_outside_the_series_splits_it(spark, rows):
     df = samples(
         spark, [(0.0, "m", 1, 0, 1, 5.0), (1.0, "m", 1, 0, 2, 50.0), (2.0, "m", 1, 0, 1, 6.0)]
     )
-    assert rows(metrics.sum_increase(df, "kind", 10)) == [(0, 1, 1.0), (0, 2, 0.0)]
+    assert rows(metrics.sum_increase(df, "kind", 10)) == [(0, 1, 1.0)]
 
 
 def brute_increase(points, seconds):
     total = {}
-    buckets = {}
-    for at, value in sorted(points):
-        buckets.setdefault(int(at // seconds) * seconds, []).append(value)
-    for start, values in buckets.items():
-        steps = zip(values, values[1:])
-        total[start] = float(sum(b if b < a else b - a for a, b in steps))
+    ordered = sorted(points)
+    for (_, a), (at, b) in zip(ordered, ordered[1:]):
+        start = int(at // seconds) * seconds
+        total[start] = total.get(start, 0.0) + (b if b < a else b - a)
     return total
 
 
@@ -142,18 +140,28 @@ def test_increase_against_brute_force(spark, points, seconds):
     assert all(value >= 0 for value in got.values())
 
 
-def test_counter_forms(counters, rows):
-    single = metrics.counter(counters, "hit", by=[])
-    assert [rows(df) for df in single] == [[(0, 1.1), (10, 0.0)]]
-    # A list of names is grouped by instance whatever ``by`` says.
-    several = metrics.counter(counters, ["hit", "all"], by=[])
-    assert rows(several[1]) == [(0, 1, 1.8)]
-    assert metrics.counter(counters, single[0]) == single
-    assert metrics.counter(counters, [single[0], several[0]]) == [single[0], several[0]]
-    with pytest.raises(ValueError):
-        metrics.counter(counters, ["hit", single[0]])
-    with pytest.raises(TypeError):
-        metrics.counter(counters, 5)
+def test_every_step_counts_whatever_the_bucket(spark, rows):
+    """Growth of 5 every 10 s has its rate in every bucket; sparse samples lose nothing."""
+    steady = samples(spark, [(10.0 * i, "m", 1, 0, 0, 5.0 * i) for i in range(101)])
+    rates = rows(metrics.sum_rate(steady))
+    assert rates == [(10 * i, 1, 0.5) for i in range(1, 101)]
+    sparse = samples(spark, [(15.0 * i, "m", 1, 0, 0, 7.0 * i) for i in range(500)])
+    for bucket in ("10 seconds", "1 minute", "1 hour"):
+        grown = metrics.sum_increase(sparse, bucket=bucket)
+        assert grown.agg(F.sum("increase")).first()[0] == 7.0 * 499
+
+
+def test_pages_carry_the_last_value_over(spark, rows, monkeypatch):
+    monkeypatch.setattr(metrics, "PAGE", 16)
+    df = samples(spark, [(3.0 * i, "m", None, 0, 0, float(i)) for i in range(200)])
+    grown = metrics.series_increase(df, 10)
+    assert grown.agg(F.sum("increase")).first()[0] == 199.0
+
+
+def test_an_empty_text_matches_a_missing_label(spark, rows):
+    df = spark.createDataFrame([("a", None, 1.0), ("a", "", 2.0), ("a", "x\n", 3.0)], "metric string, zone string, value double")
+    assert rows(metrics.select_series(df, "a", {"zone": ""}), "value") == [(1.0,), (2.0,)]
+    assert rows(metrics.select_series(df, "a", {"zone": Matching("x")}), "value") == []
 
 
 def test_ratio_and_hit_rate(counters, rows):
@@ -182,7 +190,12 @@ def test_ratio_equals_the_join_of_two_rates(spark, rows):
 def test_division_by_a_zero_rate_is_null(spark, rows):
     df = samples(
         spark,
-        [(0.0, "a", 1, 0, 0, 1.0), (1.0, "a", 1, 0, 0, 2.0), (0.0, "b", 1, 0, 0, 1.0)],
+        [
+            (0.0, "a", 1, 0, 0, 1.0),
+            (1.0, "a", 1, 0, 0, 2.0),
+            (0.0, "b", 1, 0, 0, 1.0),
+            (1.0, "b", 1, 0, 0, 1.0),
+        ],
     )
     assert rows(metrics.percent_ratio(df, "a", "b")) == [(0, 1, None)]
 

@@ -96,7 +96,7 @@ def test_given_offsets_and_lengths_are_used(spark, rows):
     with_offset = chunks.withColumn("offset", F.col("chunk_no") * 4)
     assert rows(objects.rechunk(with_offset, 5)) == rows(objects.rechunk(chunks, 5))
     plan = objects.rechunk(with_offset, 5)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan and "Window" not in plan
+    assert "Join" not in plan and "Exchange" not in plan
 
 
 @pytest.mark.parametrize("shift", ["chunk_no * 5", "chunk_no * 3", "chunk_no * 4 + 1"])
@@ -158,3 +158,34 @@ def test_one_part_differs_from_plain_md5(spark):
 def test_part_size_must_be_positive(spark):
     with pytest.raises(ValueError):
         objects.rechunk(chunk_table(spark, {1: b"a"}, [1]), 0)
+
+
+def placed(spark, *chunks):
+    """Chunks of one object as (offset, length)."""
+    data = [(1, n, at, b"x" * length) for n, (at, length) in enumerate(chunks)]
+    return spark.createDataFrame(data, "object_id long, chunk_no long, offset long, data binary")
+
+
+@pytest.mark.parametrize(
+    "chunks, part_size",
+    [
+        ([(0, 6), (10, 10)], 10),  # a gap at the end of a part
+        ([(0, 10), (20, 5)], 10),  # a part is missing
+        ([(0, 8), (4, 8), (16, 4)], 20),  # gap and overlap of one size
+        ([(2, 8)], 10),  # a gap at the begin
+    ],
+)
+def test_gaps_and_overlaps_fail(spark, chunks, part_size):
+    with pytest.raises(Exception, match="gap or overlap|missing or cut short"):
+        flows.expected_etags(placed(spark, *chunks), part_size).collect()
+
+
+def test_a_repeated_chunk_number_fails(spark):
+    chunks = spark.createDataFrame([(1, 0, b"aa"), (1, 0, b"aa"), (1, 1, b"bb")], CHUNK)
+    with pytest.raises(Exception, match="occurs twice"):
+        objects.rechunk(chunks, 4).collect()
+
+
+def test_the_check_of_given_offsets_needs_no_further_shuffle(spark):
+    plan = objects.rechunk(placed(spark, (0, 5)), 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

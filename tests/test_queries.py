@@ -9,6 +9,8 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from __spark_entry__ import entry, oracle_sql, queries
+from chainlake.plans.oracles import ORACLES
+from chainlake.plans.registry import QUERIES
 from tools.check import TABLES, rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -22,7 +24,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
@@ -30,12 +33,12 @@ def test_entry(spark):
     assert sorted(counts) == list(range(9))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = rows_of(df.columns, [tuple(row) for row in df.collect()])
     assert got
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     names = [column[0] for column in result.description]
     assert sorted(names) == sorted(df.columns)
     assert got == rows_of(names, result.fetchall())

@@ -1,11 +1,15 @@
 """One key holds a third of all rows or more: results stay whole, work stays split."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chainlake import blocks, integrity, metrics, objects, sources, state
+from chainlake import integrity, metrics, objects, sources, state
 from chainlake.plans import views
+from chainlake.plans.oracles import ORACLES
+from chainlake.plans.registry import QUERIES
+from tools.check import rows_of
 
 
 @pytest.fixture
@@ -68,11 +72,12 @@ def test_a_hot_series_is_split_by_slot(spark):
     expected = {}
     points = {}
     for row in df.collect():
-        points.setdefault((row.instance, row.ts.timestamp() // 10), []).append((row.ts, row.value))
-    for (instance, bucket), values in points.items():
-        ordered = [v for _, v in sorted(values)]
-        steps = zip(ordered, ordered[1:])
-        expected[(instance, int(bucket) * 10)] = sum(b if b < a else b - a for a, b in steps)
+        points.setdefault(row.instance, []).append((row.ts.timestamp(), row.value))
+    for instance, values in points.items():
+        ordered = sorted(values)
+        for (_, a), (at, b) in zip(ordered, ordered[1:]):
+            bucket = (instance, int(at // 10) * 10)
+            expected[bucket] = expected.get(bucket, 0.0) + (b if b < a else b - a)
     got = {(r.instance, r.bucket): r.increase for r in grown.collect()}
     assert got == pytest.approx(expected)
 
@@ -100,38 +105,40 @@ def test_hot_account_and_hot_block(spark, rows):
     plan = state.latest_state(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "SortAggregate" not in plan
 
+    wide = df.withColumns({"lt": F.col("seqno"), "payload": F.lit("x")})
+    plan = state.latest_state(wide, order=["seqno", "lt"])._jdf.queryExecution().executedPlan().toString()
+    partial = next(line for line in plan.splitlines() if "partial_" in line)
+    assert partial.count("partial_") == 1 and partial.count("payload") == 1
+
     copies = [df.selectExpr("account AS seqno", "'x' AS payload") for _ in range(2)]
     merged = sources.merge_sources(copies)
     assert merged.count() == 10
     assert "partial_min_by" in merged._jdf.queryExecution().executedPlan().toString()
 
 
-def test_an_order_with_very_many_lines_becomes_several_blocks(spark, folder, monkeypatch):
-    monkeypatch.setattr(views, "TRANSACTIONS_PER_BLOCK", 100)
+def test_an_order_with_a_third_of_all_lines_is_spread_over_shards(spark, folder):
     sf_dir = folder("hot")
     lines = views.table(spark, "/root/testdata/sf0.001", "lineitem")
-    hot = F.when(F.col("l_linenumber") <= 3, 1).otherwise(F.col("l_orderkey")).cast("long")
-    copies = lines.withColumn("l_orderkey", hot)
-    copies = copies.unionAll(copies.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(900)))).drop("n"))
-    copies.write.parquet(f"{sf_dir}/lineitem.parquet")
+    hot = F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_orderkey")).cast("long")
+    lines.withColumn("l_orderkey", hot).coalesce(1).write.parquet(f"{sf_dir}/lineitem.parquet")
     views.table(spark, "/root/testdata/sf0.001", "orders").write.parquet(f"{sf_dir}/orders.parquet")
 
-    nested = views.blocks(spark, sf_dir)
-    sizes = nested.select(
-        "seqno", "shard",
-        F.aggregate("account_blocks", F.lit(0), lambda n, a: n + F.size(a["transactions"])).alias("n"),
-    ).collect()
-    assert max(r.n for r in sizes) <= 150
-    assert len({r.shard for r in sizes if r.seqno == 1}) > 20
-    flat = blocks.flatten_transactions(nested).drop("shard")
-    direct = views.transactions(spark, sf_dir).select(flat.columns)
-    assert flat.exceptAll(direct).count() == 0 and direct.exceptAll(flat).count() == 0
+    duck = duckdb.connect()
+    for name in ("lineitem", "orders"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet/*.parquet'")
+    for name in ("block_source", "flatten_transactions"):
+        df = QUERIES[name](spark, sf_dir)
+        result = duck.execute(ORACLES[name])
+        names = [column[0] for column in result.description]
+        assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, result.fetchall())
+    blocks = QUERIES["block_source"](spark, sf_dir).where("seqno = 1").collect()
+    total = sum(r.transactions for r in blocks)
+    assert total > lines.count() / 4
+    assert len(blocks) == 4 and max(r.transactions for r in blocks) < 0.3 * total
 
 
 def test_no_plan_holds_a_cross_join(spark):
     """Nested-loop joins appear in no plan that is built lazily."""
-    from chainlake.plans.registry import QUERIES
-
     eager = ("stream", "ship", "archive", "snapshot", "fan_out", "backlog", "noop", "source")
     for name, query in QUERIES.items():
         if any(word in name for word in eager) and name != "merge_sources":

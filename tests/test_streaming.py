@@ -51,28 +51,46 @@ def sample_files(spark):
     return path
 
 
-@pytest.mark.parametrize("slot", ["1 second", "5 seconds", "10 seconds"])
-def test_stream_rate_equals_batch(spark, rows, folder, sample_files, slot):
-    stream = spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 1).parquet(sample_files)
-    rates = streaming.stream_sum_rate(stream, tie="sample_id", slot=slot, watermark="10 minutes")
-    got = run_to_table(spark, rates, folder)
-    batch = metrics.sum_rate(spark.read.parquet(sample_files), tie="sample_id")
-    want = rows(batch.filter("bucket < 9000"), "bucket", "instance", "rate")
-    assert rows(got, "bucket", "instance", "rate") == [
-        (b, i, pytest.approx(r)) for b, i, r in want
-    ]
-    assert len(want) > 30
+@pytest.fixture
+def unordered_files(spark, folder):
+    """Files out of time order, one of them far behind, one sample repeated in time."""
+    path = folder("samples")
+    for n in (3, 0, 2):
+        add_file(samples(spark, sample_rows(n * 50, 50)), path)
+    add_file(samples(spark, [(999, 10_000_000_000, "m", 0, 1.0)]), path)
+    add_file(samples(spark, sample_rows(50, 50)), path)
+    add_file(samples(spark, [(1000, 700_000, "m", 1, 9.0)]), path)
+    return path
 
 
-def test_stream_slot_must_divide_the_bucket(spark, sample_files):
-    stream = spark.readStream.schema(SAMPLE).parquet(sample_files)
-    with pytest.raises(ValueError):
-        streaming.stream_sum_increase(stream, slot="3 seconds")
+def one_by_one(spark, path):
+    return spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_stream_rate_equals_batch_in_every_bucket(spark, rows, folder, unordered_files):
+    log = folder("log")
+    stream = one_by_one(spark, unordered_files)
+    streaming.follow_samples(stream, log, folder("checkpoint"), tie="sample_id").awaitTermination()
+    assert spark.read.parquet(log).select("batch_id").distinct().count() == 6
+    got = streaming.read_rate(spark, log, tie="sample_id")
+    batch = metrics.sum_rate(spark.read.parquet(unordered_files), tie="sample_id")
+    want = rows(batch, "bucket", "instance", "rate")
+    assert rows(got, "bucket", "instance", "rate") == [(b, i, pytest.approx(r)) for b, i, r in want]
+    assert len(want) > 30 and want[-1][0] == 10_000
+
+
+def test_stream_heatmap_equals_batch_in_every_bucket(spark, rows, folder, unordered_files):
+    log = folder("log")
+    stream = one_by_one(spark, unordered_files)
+    streaming.follow_heatmap(stream, log, folder("checkpoint"), [2, 5], by="metric").awaitTermination()
+    names = ["bucket", "metric", "le", "observations", "rate"]
+    batch = metrics.heatmap(spark.read.parquet(unordered_files), [2, 5], by="metric")
+    assert rows(streaming.read_heatmap(spark, log, by="metric"), *names) == rows(batch, *names)
 
 
 @pytest.mark.parametrize("cumulative", [False, True])
-def test_stream_heatmap_equals_batch(spark, rows, folder, sample_files, cumulative):
-    stream = spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 1).parquet(sample_files)
+def test_heatmap_in_append_mode_equals_batch_in_closed_buckets(spark, rows, folder, sample_files, cumulative):
+    stream = one_by_one(spark, sample_files)
     live = metrics.heatmap(
         stream.withWatermark("ts", "10 minutes"), [2, 5], by="metric", cumulative=cumulative
     )
@@ -87,29 +105,20 @@ def test_stream_count_rate_equals_batch(spark, rows, folder, sample_files):
     assert rows(run_to_table(spark, live, folder)) == rows(batch.filter("bucket < 9000"))
 
 
-def test_late_samples_inside_the_delay_are_put_in_order(spark, rows, folder):
-    path = folder("samples")
-    add_file(samples(spark, [(1, 1_000_000, "m", 1, 5.0), (3, 30_000_000, "m", 1, 1.0)]), path)
-    add_file(samples(spark, [(2, 1_500_000, "m", 1, 9.0), (4, 1_200_000, "m", 1, 7.0)]), path)
-    add_file(samples(spark, [(5, 900_000_000, "m", 1, 0.0)]), path)
-    # Late rows are judged by the watermark of the batch before.
-    add_file(samples(spark, [(7, 901_000_000, "m", 1, 0.0)]), path)
-    add_file(samples(spark, [(6, 1_700_000, "m", 1, 99.0)]), path)  # too late
-    stream = spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 1).parquet(path)
-    grown = streaming.stream_sum_increase(stream, tie="sample_id")
-    assert rows(run_to_table(spark, grown, folder)) == [(0, 1, 4.0), (30, 1, 0.0)]
-
-
 def test_latest_state_as_a_stream_equals_batch(spark, rows, folder, sample_files):
     def changes(df):
         return df.select(F.col("instance").alias("account"), F.col("sample_id").alias("seqno"), "value")
 
     log, checkpoint = folder("log"), folder("checkpoint")
     stream = spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 1).parquet(sample_files)
-    streaming.follow_state(changes(stream), log, checkpoint).awaitTermination()
-    assert spark.read.parquet(log).select("batch_id").distinct().count() == 5
+    streaming.follow_state(changes(stream), log, checkpoint, compact_every=2).awaitTermination()
+    assert spark.read.parquet(f"{log}/log").select("batch_id").distinct().count() == 5
+    assert rows(spark.read.parquet(f"{log}/snapshots")) == [(1,), (3,)]
     batch = state.latest_state(changes(spark.read.parquet(sample_files)))
-    assert rows(streaming.read_state(spark, log), *batch.columns) == rows(batch)
+    latest = streaming.read_state(spark, log)
+    assert rows(latest, *batch.columns) == rows(batch)
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "snapshot-3" in plan and "batch_id" in plan
 
 
 def test_latest_state_in_update_mode(spark, folder, sample_files, rows):
