@@ -40,7 +40,8 @@ class Words:
         if not len(self.at):
             return np.zeros(0, np.uint64)
         half = (self.window + 1) // 2
-        return sliding_min(self.words.windows(half), self.window - half + 1)[self.at]
+        least = sliding_min(self.words.windows(half), self.window - half + 1)[self.at]
+        return finish(least)  # least names of many have low leading bits
 
     def names(self, which: np.ndarray) -> np.ndarray:
         """Names of windows: of the pair of their halves."""

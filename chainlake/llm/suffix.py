@@ -87,7 +87,8 @@ class ChunkRuns:
         self.slabs = [Runs(raw, offsets, length) for _, raw, offsets in slabs(column_of(docs, "text"))]
         self.counts = [len(r.first) for r in self.slabs]
         sample, whole, loose = (np.concatenate([getattr(r, n) for r in self.slabs] or [[]]) for n in ("sample", "whole", "loose"))
-        sample, whole, loose = sample.astype(np.uint64), whole.astype(np.uint64), loose.astype(bool)
+        whole, loose = whole.astype(np.uint64), loose.astype(bool)
+        sample = finish(sample.astype(np.uint64))  # least names of many have low leading bits
         self.samples, self.sample_of = np.unique(sample, return_inverse=True)
         self.pairs, self.first_of, self.pair_of, times = np.unique(
             finish(sample * ODD + whole), return_index=True, return_inverse=True, return_counts=True
