@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from chainlake.session import scratch_dir
 
-from .common import arrow_rows, power_of_two, settle, shuffle_partitions
+from .common import arrow_rows, power_of_two, settle, shuffle_partitions, text_batches
 
 #: Bytes of text in a chunk (a longer document is one alone), and those that
 #: one bucket of names is made for.
@@ -41,6 +41,7 @@ class Chunks:
 
     def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK):
         spark = docs.sparkSession
+        text_batches(spark)
         self.fields = docs.schema
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         least = shuffle_partitions(spark)
@@ -123,6 +124,18 @@ def unpack(known: dict, first: str, mark: str) -> np.ndarray:
     return np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, put together until they have ``size`` bytes."""
+    some: list[pa.RecordBatch] = []
+    for batch in batches:
+        some.append(batch)
+        if sum(b.nbytes for b in some) >= size:
+            yield pa.concat_batches(some)
+            some = []
+    if sum(map(len, some)):
+        yield pa.concat_batches(some)
+
+
 def packer(chunk_bytes: int, schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -131,9 +144,7 @@ def packer(chunk_bytes: int, schema: T.StructType):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in gathered(batches, 4 * chunk_bytes):
             ids = batch.column(batch.schema.names.index("doc_id"))
             batch = batch.take(pa.compute.sort_indices(ids, null_placement="at_start"))
             text = batch.column(batch.schema.names.index("text"))

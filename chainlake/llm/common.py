@@ -30,8 +30,23 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Texts that go to Python together; Spark's own limit would make batches of tens of MB.
+TEXTS_PER_BATCH = 1_000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Keep batches of texts small from now on; a lower limit of the session stays.
+
+    Spark reads the limit when a query runs, so it has to be the session's.
+    """
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(limit)) <= TEXTS_PER_BATCH:
+        spark.conf.set(limit, str(TEXTS_PER_BATCH))
+
+
 def document_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone; a null text becomes an empty one."""
+    text_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -40,6 +55,7 @@ def document_texts(docs: DataFrame) -> DataFrame:
 
 def whole_row(docs: DataFrame) -> F.Column:
     """All columns of a row as one, ``row``, so that no name can clash with a result's."""
+    text_batches(docs.sparkSession)
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
 
 

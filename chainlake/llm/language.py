@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, slabs
-from .common import arrow_rows
+from .common import arrow_rows, text_batches
 
 BUCKET_BITS, SEED = 14, 3
 #: Bits of the code for each doubling of the number of languages, and at least.
@@ -154,6 +154,7 @@ def count_grams(rows: DataFrame) -> dict[str, np.ndarray]:
 
 def train(docs: DataFrame, trains) -> LanguageModel | None:
     """Learn from ``text`` and non-null ``lang`` where ``trains`` holds; ``None`` without any."""
+    text_batches(docs.sparkSession)
     rows = docs.where(trains).where("text is not null and lang is not null").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     counts = count_grams(rows)
     names = sorted(counts)
@@ -180,6 +181,7 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     nothing was learnt. Only ``text`` decides.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import NOT_SPACE, doc_sums, slabs, word_bounds, word_hashes
-from .common import arrow_rows, settle
+from .common import arrow_rows, document_texts, settle
 
 FEATURES, RIDGE, SEED = 384, 1e-3, 5
 #: Scores are calibrated on this many bins between -0.5 and 1.5.
@@ -88,7 +88,6 @@ def distinct(hashes: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
 
 def document_statistics(docs: DataFrame) -> DataFrame:
     """``doc_id, x``: the statistics of every whole text; null counts as empty."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
@@ -96,7 +95,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
                 x = statistics(raw, offsets).astype(np.float32)
                 yield {"doc_id": batch["doc_id"].slice(at, len(x)), "x": list(x)}
 
-    return arrow_rows(texts, run, "doc_id long, x array<float>")
+    return arrow_rows(document_texts(docs), run, "doc_id long, x array<float>")
 
 
 @dataclass

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, settle, whole_row
+from .common import arrow_rows, settle, text_batches, whole_row
 from .components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -191,6 +191,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     Rows without a ``doc_id`` take part; a component of such rows alone has a null
     id. Other columns are not read.
     """
+    text_batches(docs.sparkSession)
     prints = settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_of(F.col("text"), shingle).alias("fp")), "prints")
     names = name_components(prints, max_bits)
     return prints.join(names, "fp").select("doc_id", "fp", "component_id")

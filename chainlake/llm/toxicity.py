@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import BYTE_VALUES, LOWER, WORD_BYTES, Rolling, slabs, word_bounds
-from .common import arrow_rows, text_of, whole_row
+from .common import arrow_rows, document_texts, text_of, whole_row
 
 #: Labelled rows of either class that the model is fitted on at most, about.
 SAMPLE = 4_000
@@ -153,7 +153,8 @@ def sample(docs: DataFrame, labels: DataFrame, trains) -> list[tuple[np.ndarray,
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     shares = [int(min(1.0, SAMPLE / totals.get(y, 1)) * 1_000_000) for y in (0.0, 1.0)]
     part = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < F.when(F.col("y") > 0, shares[1]).otherwise(shares[0])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(known.where(part), "doc_id")
+    # At most about twice SAMPLE rows of two numbers, so the texts stay where they are.
+    rows = document_texts(docs).join(F.broadcast(known.where(part)), "doc_id")
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
