@@ -333,20 +333,42 @@ def binary_op(
     bucket: str | int = RATE_INTERVAL,
     series: Sequence[str] = SERIES,
     tie: str | None = None,
+    lookback: int = 0,
 ) -> DataFrame:
     """``bucket, on…, value`` of ``a <op> b``, matched one to one on labels.
 
     Both sides are reduced to their latest sample per bucket before the join, so
     it is a plain equi-join of one row per key. Unmatched rows drop out; several
     series for one key fail the query. Division by zero gives null.
+
+    With ``lookback``, a value also holds in so many buckets after its own that have
+    none of their own; each then has up to that many copies. Buckets in which neither
+    side has a sample have no row.
     """
     if op not in OPERATORS:
         raise ValueError(f"unknown operator {op!r}, accepted: {list(OPERATORS)}")
     on = columns(on)
-    left = _instant(a, on, bucket, series, tie).withColumnRenamed("value", "_left")
-    right = _instant(b, on, bucket, series, tie).withColumnRenamed("value", "_right")
+    left = _held(_instant(a, on, bucket, series, tie), on, bucket, lookback, "_left")
+    right = _held(_instant(b, on, bucket, series, tie), on, bucket, lookback, "_right")
     value = OPERATORS[op](F.col("_left"), F.col("_right"))
-    return left.join(right, ["bucket", *on]).select("bucket", *on, value.alias("value"))
+    met = left.join(right, ["bucket", *on])
+    if lookback:
+        met = met.filter((F.col("_left_age") == 0) | (F.col("_right_age") == 0))
+    return met.select("bucket", *on, value.alias("value"))
+
+
+def _held(instant: DataFrame, on: list[str], bucket, lookback: int, name: str) -> DataFrame:
+    """Values by bucket; each also in the ``lookback`` buckets after it, if free."""
+    if not lookback:
+        return instant.withColumnRenamed("value", name)
+    ages = F.explode(F.sequence(F.lit(0), F.lit(lookback)))
+    copies = instant.withColumn("_age", ages).withColumn(
+        "bucket", F.col("bucket") + F.col("_age") * seconds_of(bucket)
+    )
+    youngest = copies.groupBy("bucket", *on).agg(
+        F.min("_age").alias(f"{name}_age"), F.min_by("value", "_age").alias(name)
+    )
+    return youngest
 
 
 # --- Distributions ----------------------------------------------------------

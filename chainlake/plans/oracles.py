@@ -205,6 +205,12 @@ ORACLES: dict[str, str] = {
                    PARTITION BY addr ORDER BY seqno DESC, lt DESC, payload DESC) AS place
           FROM transactions)
         WHERE place = 1""",
+    "archive_replay_stream": f"""WITH {TRANSACTIONS}
+        SELECT account, workchain, seqno, lt, now, payload FROM (
+          SELECT addr AS account, *, row_number() OVER (
+                   PARTITION BY addr ORDER BY seqno DESC, lt DESC, payload DESC) AS place
+          FROM transactions)
+        WHERE place = 1""",
     "committed_tail": f"""WITH {CATALOG}
         SELECT object_id, size
         FROM (SELECT * FROM catalog ORDER BY object_id DESC LIMIT {TAIL})

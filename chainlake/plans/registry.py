@@ -118,6 +118,23 @@ def archive_replay_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def archive_replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "block-archives")
+    flows.store_blocks(views.blocks(spark, sf_dir), path, views.BLOCKS_PER_ARCHIVE)
+    latest = flows.follow_archives(
+        spark,
+        path,
+        scratch_dir(spark, "state-log"),
+        scratch_dir(spark, "checkpoint"),
+        ["seqno", "lt", "payload"],
+        max_files_per_trigger=FILES_PER_BATCH,
+    )
+    return latest.select(
+        hex_of("account"), "workchain", "seqno", "lt", "now", text_of("payload")
+    )
+
+
 @query
 def committed_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.committed_tail(views.catalog(spark, sf_dir), TAIL)

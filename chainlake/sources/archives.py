@@ -17,6 +17,7 @@ def read_archives(
     ids: Sequence[int] | DataFrame | None = None,
     schema: StructType = BLOCK,
     stream: bool = False,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Contents of the archives under ``path`` with their ``archive_id``.
 
@@ -27,6 +28,8 @@ def read_archives(
     content = [field for field in schema.fields if field.name != "archive_id"]
     full = StructType([*content, StructField("archive_id", LongType())])
     reader = spark.readStream if stream else spark.read
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     archives = reader.schema(full).parquet(path)
     if ids is None:
         return archives

@@ -16,15 +16,16 @@ def merge_sources(
 ) -> DataFrame:
     """Union of the sources; a key found in an earlier one is not taken again.
 
-    The first source has the highest priority. Each map task keeps one row per
-    key before the shuffle, and there is no window over a key's rows.
-    ``priority`` in the result tells the source a row came from.
+    The first source has the highest priority. Which source a key comes from is
+    settled on keys and priorities alone, by partial aggregates of fixed width; whole
+    rows are only joined to what was settled. Rows of one source that share a key all
+    stay. ``priority`` in the result tells the source a row came from.
     """
     if not sources:
         raise ValueError("at least one source is needed")
     key = columns(key)
     ranked = [df.withColumn("priority", F.lit(i)) for i, df in enumerate(sources)]
     union = reduce(DataFrame.unionByName, ranked)
-    rest = [name for name in union.columns if name not in key]
-    best = F.min_by(F.struct(*rest), "priority").alias("_best")
-    return union.groupBy(*key).agg(best).select(*key, "_best.*")
+    names = [*key, "priority", *(n for n in union.columns if n not in (*key, "priority"))]
+    best = union.groupBy(*key).agg(F.min("priority").alias("priority"))
+    return union.join(best, [*key, "priority"], "left_semi").select(*names)

@@ -158,6 +158,13 @@ def test_pages_carry_the_last_value_over(spark, rows, monkeypatch):
     assert grown.agg(F.sum("increase")).first()[0] == 199.0
 
 
+def test_lookback_matches_gauges_scraped_at_different_moments(spark, rows):
+    df = samples(spark, [(9.0, "a", 1, 0, 0, 5.0), (12.0, "b", 1, 0, 0, 2.0), (45.0, "b", 1, 0, 0, 1.0)])
+    a, b = (df.filter(F.col("metric") == m) for m in "ab")
+    assert rows(metrics.binary_op(a, b, "-")) == []
+    assert rows(metrics.binary_op(a, b, "-", lookback=2)) == [(10, 1, 0, 3.0)]
+
+
 def test_an_empty_text_matches_a_missing_label(spark, rows):
     df = spark.createDataFrame([("a", None, 1.0), ("a", "", 2.0), ("a", "x\n", 3.0)], "metric string, zone string, value double")
     assert rows(metrics.select_series(df, "a", {"zone": ""}), "value") == [(1.0,), (2.0,)]

@@ -82,6 +82,14 @@ def test_a_hot_series_is_split_by_slot(spark):
     assert got == pytest.approx(expected)
 
 
+def test_a_constant_hot_group_is_spread_over_the_salts(spark):
+    df = spark.range(9000).select(F.lit(0).alias("instance"), F.lit(5.0).alias("value"))
+    plan = metrics.quantile(df, "0.99")._jdf.queryExecution().analyzed().toString()
+    assert "monotonically_increasing_id" in plan
+    salted = df.withColumn("salt", F.monotonically_increasing_id() % metrics.SALTS)
+    assert salted.select("salt").distinct().count() >= metrics.SALTS / 2
+
+
 @pytest.mark.parametrize("copies", [True, False])
 def test_quantile_of_a_hot_group(spark, sort_merge_only, copies):
     df = spark.range(9000).select(
@@ -110,10 +118,11 @@ def test_hot_account_and_hot_block(spark, rows):
     partial = next(line for line in plan.splitlines() if "partial_" in line)
     assert partial.count("partial_") == 1 and partial.count("payload") == 1
 
-    copies = [df.selectExpr("account AS seqno", "'x' AS payload") for _ in range(2)]
+    copies = [df.selectExpr("account AS seqno", "'x' AS payload").distinct() for _ in range(2)]
     merged = sources.merge_sources(copies)
     assert merged.count() == 10
-    assert "partial_min_by" in merged._jdf.queryExecution().executedPlan().toString()
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(priority" in plan and "SortAggregate" not in plan
 
 
 def test_an_order_with_a_third_of_all_lines_is_spread_over_shards(spark, folder):
