@@ -10,7 +10,7 @@ import pyarrow as pa
 from .common import utf8
 
 #: Bytes of text handled at once; a longer document is a slab of its own.
-SLAB = 1 << 20
+SLAB = 1 << 19
 
 _rng = np.random.default_rng(20)
 #: A random number for each byte, and an odd base with its inverse modulo 2**64.

@@ -73,10 +73,23 @@ def fold(divisor: int) -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % divisor
 
 
-def arrow_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterable[dict]], schema: str) -> DataFrame:
+#: What a Python worker keeps from task to task.
+MEMORIES: list[dict] = []
+
+
+def forget() -> None:
+    """Empty the memories: a worker that turns to another operator needs the room."""
+    for memory in MEMORIES:
+        memory.clear()
+
+
+def arrow_rows(
+    df: DataFrame, fn: Callable[[Iterator[dict]], Iterable[dict]], schema: str, keep: bool = False
+) -> DataFrame:
     """Run ``fn`` over the batches of a partition as dicts of Arrow columns.
 
     ``fn`` yields dicts of column values; Python lists, numpy and Arrow arrays do.
+    With ``keep`` the worker's memories stay.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -84,6 +97,8 @@ def arrow_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterable[dict]], sc
     arrow = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            forget()
         columns = ({n: b.column(i) for i, n in enumerate(b.schema.names)} for b in batches)
         for out in fn(columns):
             arrays = [

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, WORD_BYTES, Rolling, slabs, word_hashes
-from .common import settle, text_of, whole_row
+from .common import forget, settle, text_of, whole_row
 
 #: Words of the shortest tile; share of an item under tiles that makes a leak.
 MATCH, COVERAGE = 5, 0.4
@@ -165,6 +165,7 @@ def leaks_in(text: F.Column, rows: list[tuple[int, bytes]], match: int) -> F.Col
     made: list[Items] = []
 
     def leaks(texts: pa.Array) -> pa.Array:
+        forget()
         if not made:
             made.append(Items(rows, match))
         items, out = made[0], []

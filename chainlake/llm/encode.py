@@ -22,6 +22,8 @@ import re
 
 import numpy as np
 
+from .common import MEMORIES
+
 #: Pieces a worker remembers; about 200 bytes each.
 LIMIT = 700_000
 #: Pieces in one library call.
@@ -34,6 +36,7 @@ MARK = "\x01"
 BLANK = "\u0120"
 
 _encoders: dict[tuple[str, str], PieceEncoder] = {}
+MEMORIES.append(_encoders)
 
 
 def tokenizer_path(name: str) -> str:

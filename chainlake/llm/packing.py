@@ -61,7 +61,7 @@ def encode_pieces(
                 yield out | {"part": [part] * len(out["doc_id"])}
 
     schema = "doc_id long, piece int, start long, length long, ids binary, part int, place long"
-    return arrow_rows(document_texts(docs), run, schema)
+    return arrow_rows(document_texts(docs), run, schema, keep=True)
 
 
 def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, ...]]:

@@ -23,10 +23,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, settle, text_batches, whole_row
+from .common import arrow_rows, forget, settle, text_batches, whole_row
 from .components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -61,6 +61,7 @@ def fingerprint_of(text: F.Column, shingle: int = SHINGLE) -> F.Column:
     """The fingerprint of a text column as a signed long; null counts as empty."""
 
     def prints(texts: pa.Array) -> pa.Array:
+        forget()
         found = [fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in texts]
         return pa.array(np.array(found, np.uint64).view(np.int64))
 
@@ -203,8 +204,10 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     It has the smallest ``doc_id``; of rows that share it, one stays. In a component of
     rows without a ``doc_id`` one stays.
     """
-    stored = settle(docs.select(whole_row(docs), fingerprint_of(F.col("text"), shingle).alias("fp")), "prints")
-    names = name_components(stored.select("fp", F.col("row.doc_id").cast("long").alias("doc_id")), max_bits)
-    best = stored.join(names, "fp").where(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
-    first = Window.partitionBy("root").orderBy(F.xxhash64("row.text"))
-    return best.withColumn("_n", F.row_number().over(first)).where(F.col("_n") == 1).select("row.*")
+    print_of = fingerprint_of(F.col("text"), shingle).alias("fp")
+    numbered = docs.select(whole_row(docs), print_of, F.monotonically_increasing_id().alias("place"))
+    stored = settle(numbered, "prints")
+    rows = stored.select("fp", "place", F.col("row.doc_id").cast("long").alias("doc_id"))
+    first = rows.join(name_components(rows, max_bits), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = first.groupBy("root").agg(F.min("place").alias("place"))
+    return stored.join(kept, "place", "left_semi").select("row.*")

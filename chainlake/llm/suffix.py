@@ -20,7 +20,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .arrays import BYTE_VALUES, Rolling, finish, slabs, sliding_min
 from .chunks import Chunks, column_of, covered, elsewhere, same_as_next, unpack
@@ -140,12 +139,13 @@ def decide_pairs(names, extras, chunk):
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Every ``row`` of ``docs`` with ``n_bytes, n_removed, n_spans, spans, kept``.
+    """Every ``row`` of ``docs`` with ``n_bytes, n_removed, n_spans, spans, kept, text``.
 
     A byte goes if a string of ``length`` bytes over it starts anywhere else, too, in
     another document or in its own; both occurrences go. Strings are judged on the
     input and never cross documents. ``spans`` are the removed runs as ``start, stop``
-    offsets, ``kept`` the bytes that stay. Null and empty texts have no bytes. Rows
+    offsets, ``kept`` the bytes that stay, and ``text`` the same without characters
+    that were cut in two. Null and empty texts have no bytes. Rows
     that repeat or share a ``doc_id`` are documents of their own.
     """
     chunks = Chunks(docs)
@@ -216,21 +216,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             removed = covered(np.concatenate(gone), length, len(slab.raw))
             for column, values in zip(out.values(), kept_bytes(slab.raw, slab.offsets, removed)):
                 column += values
-        yield {"row": rows} | out
+        texts = [kept.decode("utf-8", "ignore") for kept in out["kept"]]
+        yield {"row": rows, "text": texts} | out
 
-    added = "n_bytes long, n_removed long, n_spans long, spans array<array<long>>, kept binary"
+    added = "n_bytes long, n_removed long, n_spans long, spans array<array<long>>, kept binary, text string"
     return chunks.map(cut, chunks.with_rows(added), [ranked, settled, again])
 
 
-def whole_characters(kept: str) -> F.Column:
-    """The text in a column of bytes, without characters that were cut in two."""
-
-    def decode(column: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in column.to_pylist()], pa.string())
-
-    return F.arrow_udf(decode, "string")(kept)
-
-
 def kept_bytes(raw: np.ndarray, offsets: np.ndarray, removed: np.ndarray) -> tuple[list, ...]:
     """For each text: bytes, bytes removed, removed runs, those runs, the other bytes."""
     edge = np.zeros(len(raw) + 1, bool)

@@ -202,7 +202,7 @@ def write_token_files(
         }
 
     schema = "shard int, file string, id_bytes int, documents long, first_key long, last_key long, tokens long"
-    manifest = settle(arrow_rows(ordered, run, schema), "manifest")
+    manifest = settle(arrow_rows(ordered, run, schema, keep=True), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 

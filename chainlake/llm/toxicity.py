@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import BYTE_VALUES, LOWER, WORD_BYTES, Rolling, slabs, word_bounds
-from .common import arrow_rows, document_texts, text_of, whole_row
+from .common import arrow_rows, document_texts, forget, text_of, whole_row
 
 #: Labelled rows of either class that the model is fitted on at most, about.
 SAMPLE = 4_000
@@ -190,6 +190,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def scorer(sent):
     def score(texts: pa.Array) -> pa.Array:
+        forget()
         weights, bias = sent.value
         model = ToxicityModel(weights, bias)
         parts = [model.score(raw, offsets) for _, raw, offsets in slabs(texts)]
