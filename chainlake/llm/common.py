@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import math
 from collections.abc import Callable, Iterable, Iterator
 
@@ -129,3 +130,19 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def power_of_two(at_least: float) -> int:
     return 1 << max(0, math.ceil(math.log2(max(1.0, at_least))))
+
+
+def save(arrays: list[np.ndarray]) -> bytes:
+    """Arrays one behind the other, each with its type and shape."""
+    out = io.BytesIO()
+    for array in arrays:
+        np.save(out, array)
+    return out.getvalue()
+
+
+def load(raw: bytes) -> list[np.ndarray]:
+    """The arrays that :func:`save` wrote."""
+    source, arrays = io.BytesIO(raw), []
+    while source.tell() < len(raw):
+        arrays.append(np.load(source))
+    return arrays

@@ -14,17 +14,22 @@ smallest; more could not show in any result, as ties go to the smaller id.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, settle
+from chainlake.session import scratch_dir
+
+from .common import arrow_rows, load, save, settle, shuffle_partitions
 
 K = 20
-#: Points of a shard at most, about; more shards cost each query more.
+#: Points of a shard at most, about; a task holds one shard, and more shards cost each
+#: query more.
 SHARD = 50_000
 #: Shards at least, so that small tables use several executors, too.
 LEAST_SHARDS = 6
@@ -167,6 +172,76 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def build_index(dealt: DataFrame, top: float) -> dict[int, str]:
+    """A graph for each ``shard`` of ``v, ids`` rows, in a file of its own.
+
+    ``top`` is the largest squared length. Tasks write under names of their own
+    attempt; only what Spark has committed to the list is read. The list has a row for
+    each ``SHARD`` points.
+    """
+    folder = scratch_dir(dealt.sparkSession, "graphs")
+
+    def build(group: pa.Table) -> pa.Table:
+        v = matrix(group.column("v").combine_chunks())
+        rest = np.sqrt(np.maximum(top - np.einsum("ij,ij->i", v, v), 0))
+        graph = Graph.build(np.column_stack([v, rest]).astype(np.float32))
+        ids = group.column("ids").combine_chunks()
+        arrays = [v, graph.vectors, graph.edges, np.array([graph.start]), ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()]
+        shard = group.column("shard")[0].as_py()
+        files, place = arrow_fs.FileSystem.from_uri(folder)
+        files.create_dir(place, recursive=True)
+        name = f"shard-{shard:06d}-{uuid.uuid4().hex}.npy"
+        with files.open_output_stream(f"{place}/{name}") as out:
+            out.write(save(arrays))
+        return pa.table({"shard": pa.array([shard], pa.int32()), "file": [f"{folder}/{name}"]})
+
+    made = dealt.groupBy("shard").applyInArrow(build, "shard int, file string")
+    return {r["shard"]: r["file"] for r in settle(made, "graph-list").collect()}
+
+
+def search_index(queries: DataFrame, files: dict[int, str], k: int) -> DataFrame:
+    """``asked, ids, score``: the ``k`` points found in each shard for each ``v``.
+
+    ``asked`` is the hash of the query. Queries are dealt by shard and hash, so a task
+    has a bounded part of them and holds the graph of one shard at a time.
+    """
+    numbers = F.lit(sorted(files)).cast("array<int>") if files else F.array().cast("array<int>")
+    asked = queries.withColumn("asked", F.xxhash64("v")).withColumn("shard", F.explode(numbers))
+    parts = shuffle_partitions(queries.sparkSession)
+    dealt = asked.repartitionByRange(parts, "shard", "asked").sortWithinPartitions("shard")
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        at, opened = None, None
+        for batch in batches:
+            shards = batch["shard"].to_numpy()
+            for shard in np.unique(shards):
+                if shard != at:
+                    at, opened = shard, open_graph(files[int(shard)])
+                graph, v, bounds, ids = opened
+                own = pa.array(np.flatnonzero(shards == shard))
+                names, q = batch["asked"].take(own).to_numpy(), matrix(batch["v"].take(own))
+                for i in range(0, len(q), BATCH):
+                    part = q[i : i + BATCH]
+                    flat = np.column_stack([part, np.zeros(len(part))]).astype(np.float32)
+                    found = graph.search(flat, min(max(BEAM, 2 * k), len(v)))[0][:, :k]
+                    there = found >= 0
+                    who, place = np.repeat(np.arange(len(part)), there.sum(axis=1)), found[there]
+                    yield {
+                        "asked": names[i : i + BATCH][who],
+                        "ids": [ids[bounds[p] : bounds[p + 1]] for p in place],
+                        "score": np.einsum("ij,ij->i", part[who], v[place]),
+                    }
+
+    return arrow_rows(dealt, run, "asked long, ids array<long>, score double")
+
+
+def open_graph(file: str) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
+    files, place = arrow_fs.FileSystem.from_uri(file)
+    with files.open_input_file(place) as source:
+        v, vectors, edges, start, bounds, ids = load(source.read())
+    return Graph(vectors, edges, int(start[0])), v, bounds, ids
+
+
 def nearest(vectors: DataFrame, queries: F.Column, k: int = K) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query.
 
@@ -185,34 +260,9 @@ def nearest(vectors: DataFrame, queries: F.Column, k: int = K) -> DataFrame:
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     total, top = points.agg(F.count("*"), F.max(square)).first()
     shards = max(LEAST_SHARDS, math.ceil(total / SHARD))
-    asked = settle(rows.where("asks").select("v").distinct().withColumn("asked", F.xxhash64("v")), "asked")
-    blocks = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("point"), F.lit(shards)).cast("int"))
-
-    def search(own: pa.Table, sought: pa.Table) -> Iterator[pa.RecordBatch]:
-        v = matrix(own.column("v").combine_chunks())
-        q = matrix(sought.column("v").combine_chunks())
-        ids, asked_ids = own.column("ids").combine_chunks(), sought.column("asked").combine_chunks()
-        if not len(v) or not len(q):
-            return
-        rest = np.sqrt(np.maximum(top - np.einsum("ij,ij->i", v, v), 0))
-        graph = Graph.build(np.column_stack([v, rest]).astype(np.float32))
-        for at in range(0, len(q), BATCH):
-            part = q[at : at + BATCH]
-            flat = np.column_stack([part, np.zeros(len(part))]).astype(np.float32)
-            found, _ = graph.search(flat, min(BEAM, len(v)))
-            found = found[:, : k + 1]
-            there = found >= 0
-            who = np.repeat(np.arange(len(part)), there.sum(axis=1))
-            place = found[there]
-            score = np.einsum("ij,ij->i", part[who], v[place])
-            yield pa.RecordBatch.from_arrays(
-                [asked_ids.slice(at, len(part)).take(pa.array(who)), ids.take(pa.array(place)), pa.array(score)], ["asked", "ids", "score"]
-            )
-
-    hits = dealt.groupBy("shard").cogroup(blocks.groupBy("shard")).applyInArrow(
-        lambda a, b: pa.Table.from_batches(list(search(a, b)), HITS), "asked long, ids array<long>, score double"
-    )
+    files = build_index(dealt, top)
+    hits = search_index(rows.where("asks").select("v").distinct(), files, k + 1)
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     ranked = (
         hits.select("asked", "score", F.explode("ids").alias("vec_id"))
@@ -226,5 +276,3 @@ def nearest(vectors: DataFrame, queries: F.Column, k: int = K) -> DataFrame:
     met = own.join(ranked, "asked").select("query_id", F.posexplode(others).alias("at", "hit"))
     return met.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
 
-
-HITS = pa.schema([("asked", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])

@@ -12,10 +12,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import NOT_SPACE, doc_sums, slabs, word_bounds, word_hashes
+from .arrays import BYTE_VALUES, NOT_SPACE, Rolling, doc_sums, slabs, word_bounds, word_hashes
 from .common import arrow_rows, document_texts, settle
 
 FEATURES, RIDGE, SEED = 384, 1e-3, 5
@@ -58,8 +59,6 @@ def statistics(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     np.maximum.at(longest, doc, length)
     line_starts, line_stops = word_bounds(raw, offsets, np.arange(256) != 10)
     line_doc = np.searchsorted(offsets, line_starts, "right") - 1
-    from .arrays import BYTE_VALUES, Rolling
-
     line_hashes = Rolling(BYTE_VALUES[raw]).runs(line_starts, line_stops)
     lines = np.bincount(line_doc, minlength=docs)
     last = raw[stops - 1] if len(stops) else raw[:0]
@@ -168,7 +167,6 @@ def fit(rows: DataFrame) -> QualityModel:
 
 def summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
     """The sum of the tasks' arrays, added up by ``GROUPS`` tasks first."""
-    import pyarrow as pa
 
     def add(batches):
         total = np.zeros(shape)

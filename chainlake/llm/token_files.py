@@ -15,11 +15,11 @@ manifest and is never read.
 
 from __future__ import annotations
 
-import io
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from chainlake.session import scratch_dir
 
-from .common import arrow_rows, document_texts, settle, shuffle_partitions
+from .common import arrow_rows, document_texts, load, save, settle, shuffle_partitions
 from .encode import encoder
 
 END_ID = 0
@@ -66,6 +66,11 @@ class PerfectHash:
     prints: np.ndarray  # by number
     values: np.ndarray  # by number
 
+    @cached_property
+    def ranks(self) -> np.ndarray:
+        """Bits set up to each one."""
+        return np.cumsum(self.bits)
+
     @classmethod
     def build(cls, keys: np.ndarray, values: np.ndarray) -> PerfectHash:
         """``keys`` are distinct integers."""
@@ -87,12 +92,11 @@ class PerfectHash:
 
     def numbers(self, keys: np.ndarray) -> np.ndarray:
         """The number of each key, -1 where every level's bit is unset."""
-        ranks = np.cumsum(self.bits) - 1
         found, base = np.full(len(keys), -1), 0
         for level, size in enumerate(self.sizes):
             at = base + (mix(keys, level) % np.uint64(size)).astype(np.int64)
             new = (found < 0) & self.bits[at]
-            found[new] = ranks[at[new]]
+            found[new] = self.ranks[at[new]] - 1
             base += size
         return found
 
@@ -105,20 +109,6 @@ class PerfectHash:
         return np.where(known, self.values[number], -1)
 
 
-def save(arrays: list[np.ndarray]) -> bytes:
-    out = io.BytesIO()
-    for array in arrays:
-        np.save(out, array)
-    return out.getvalue()
-
-
-def load(raw: bytes) -> list[np.ndarray]:
-    source, arrays = io.BytesIO(raw), []
-    while source.tell() < len(raw):
-        arrays.append(np.load(source))
-    return arrays
-
-
 @dataclass
 class Shard:
     """The index of a shard."""
