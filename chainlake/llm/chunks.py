@@ -25,11 +25,11 @@ from pyspark.sql import types as T
 
 from chainlake.session import scratch_dir
 
-from .common import arrow_rows, power_of_two, settle, shuffle_partitions, text_batches
+from .common import arrow_rows, power_of_two, release, settle, shuffle_partitions, text_batches
 
 #: Bytes of text in a chunk (a longer document is one alone), and those that
 #: one bucket of names is made for.
-CHUNK, BUCKET = 4 << 20, 4 << 20
+CHUNK, BUCKET = 2 << 20, 4 << 20
 
 
 class Chunks:
@@ -102,6 +102,7 @@ class Chunks:
             read = lambda n, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(n)])
             chunk = np.repeat(np.arange(len(lengths)), lengths)
             found = decide(read("names", np.uint64), {n: read(n, kind) for n, kind in extras.items()}, chunk)
+            release()
             ends = np.cumsum(lengths)
             columns = [[np.packbits(x[e - k : e]).tobytes() for e, k in zip(ends, lengths)] for x in found]
             yield pa.RecordBatch.from_arrays(

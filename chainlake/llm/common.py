@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import math
 from collections.abc import Callable, Iterable, Iterator
@@ -84,6 +86,13 @@ def forget() -> None:
         memory.clear()
 
 
+def release() -> None:
+    """Give freed memory back to the system; a worker that waits would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_rows(
     df: DataFrame, fn: Callable[[Iterator[dict]], Iterable[dict]], schema: str, keep: bool = False
 ) -> DataFrame:
@@ -108,6 +117,7 @@ def arrow_rows(
             ]
             arrays = [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, arrow)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        release()
 
     return df.mapInArrow(run, fields)
 
