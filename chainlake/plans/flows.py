@@ -19,7 +19,6 @@ from ..operators.common import columns
 from ..operators.state import account_changes, latest_state
 from ..sinks.files import archives, snapshots
 from ..sources.archives import read_archives
-from ..streaming.state import follow_state, read_state
 
 log = logging.getLogger(__name__)
 
@@ -182,24 +181,6 @@ def replay(
     return latest
 
 
-def follow_archives(
-    spark: SparkSession,
-    archive_path: str,
-    path: str,
-    checkpoint: str,
-    order: Sequence[str] = ("seqno", "lt"),
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """Replay archives as they come: only new ones are read, state is kept in a log.
-
-    Takes what is there and returns the latest state per account so far.
-    """
-    blocks = read_archives(spark, archive_path, stream=True, max_files_per_trigger=max_files_per_trigger)
-    changes = account_changes(block_ops.flatten_transactions(blocks))
-    follow_state(changes, path, checkpoint, "account", order).awaitTermination()
-    return read_state(spark, path, "account", order)
-
-
 def store_blocks(blocks: DataFrame, path: str, blocks_per_archive: int) -> None:
     """Bundle blocks into archives and write the closed and open ones alike."""
     archives(block_ops.bundle(blocks, blocks_per_archive).drop("closed"), path)

@@ -122,7 +122,7 @@ def archive_replay_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "block-archives")
     flows.store_blocks(views.blocks(spark, sf_dir), path, views.BLOCKS_PER_ARCHIVE)
-    latest = flows.follow_archives(
+    latest = streaming.follow_archives(
         spark,
         path,
         scratch_dir(spark, "state-log"),

@@ -2,10 +2,12 @@
 
 from .publish import publish_stream
 from .rates import follow_heatmap, follow_samples, read_heatmap, read_rate
+from .replay import follow_archives
 from .state import compact_state, follow_state, read_state
 
 __all__ = [
     "compact_state",
+    "follow_archives",
     "follow_heatmap",
     "follow_samples",
     "follow_state",
