@@ -61,6 +61,30 @@ def test_stages_catch_what_is_planted(spark, planted):
     assert rows(corpus_pipeline.run(spark, sf_dir)) == rows(pieces)
 
 
+def test_edited_copies_are_near_duplicates(spark, documents):
+    """Copies of similarity 0.8 to 0.95 go, those below 0.8 stay; a brute force agrees."""
+    rng = np.random.default_rng(8)
+    texts = {i: clean(500 + i, 400).split() for i in range(12)}
+    for i in range(12):
+        for n, edits in enumerate((3, 6, 8, 12)):
+            words = list(texts[i])
+            for at in rng.choice(400 // 6, edits, replace=False) * 6:
+                words[at] = f"edit{n}"
+            texts[100 * (n + 1) + i] = words
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in texts.items()}
+    similar = lambda a, b: len(a & b) / len(a | b)
+    assert any(0.8 <= similar(sets[i], sets[200 + i]) < 0.9 for i in range(12))
+    pairs = [(a, b) for a in sets for b in sets if a < b and similar(sets[a], sets[b]) >= 0.8]
+    least = {i: i for i in sets}
+    for _ in range(5):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    docs = documents((i, " ".join(w)) for i, w in texts.items())
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == set(least.values())
+    assert not kept & set(range(100, 112)) and kept & set(range(400, 412))
+
+
 def test_stages_take_odd_and_empty_tables(spark, documents, odd_documents, stored):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     benchmark = spark.createDataFrame([], "item_id long, text string")
