@@ -1,8 +1,9 @@
 """Nearest neighbours by largest inner product, on robust-pruned graphs.
 
-Vectors get one more component that makes all of them equally long; the largest inner
-product is then the least distance. They are dealt over shards, and each shard becomes
-a directed graph: points enter in batches, a greedy search through the graph proposes
+Vectors of about one length get one more component that makes them equally long; the
+largest inner product is then the least distance. They are dealt over shards by their
+length, to within a factor of two, so that no long vector drowns the others, and scaled
+to one. Each shard becomes a directed graph: points enter in batches, a greedy search through the graph proposes
 their neighbours, and a neighbour is pruned where one already kept is nearer to it by a
 factor, so that edges go to all sides. Queries search every shard by beam, and their
 shard results are merged and scored on the original vectors in double precision.
@@ -42,9 +43,10 @@ BATCH = 256
 class Graph:
     """A directed graph over unit-free vectors, searched from their middle."""
 
-    def __init__(self, vectors: np.ndarray, edges: np.ndarray, start: int):
+    def __init__(self, vectors: np.ndarray, edges: np.ndarray, start: int, by_product: bool = False):
         self.vectors, self.edges, self.start = vectors, edges, start
-        self.norms = np.einsum("ij,ij->i", vectors, vectors)
+        # equally long vectors are told apart by the inner product alone
+        self.norms = np.zeros(len(vectors), np.float32) if by_product else np.einsum("ij,ij->i", vectors, vectors)
 
     @classmethod
     def build(cls, vectors: np.ndarray) -> Graph:
@@ -172,10 +174,49 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def build_index(dealt: DataFrame, top: float) -> dict[int, str]:
+def largest() -> F.Column:
+    """The largest component of ``v``, without its sign."""
+    return F.array_max(F.transform("v", lambda x: F.abs(x)))
+
+
+def band() -> F.Column:
+    """The binary logarithm of the length of ``v``, rounded; no component overflows."""
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.col("_largest")) * (x / F.col("_largest")))
+    return F.floor(F.log2("_largest") + F.log2(square) / 2 + 0.5).cast("int")
+
+
+def deal(points: DataFrame) -> DataFrame:
+    """``points`` with their ``shard``: of about one length, and ``SHARD`` at most, about."""
+    counts = sorted((r["band"], r["count"]) for r in points.groupBy("band").count().collect())
+    total = sum(n for _, n in counts)
+    first, places = 0, []
+    for at, n in counts:
+        parts = max(math.ceil(n / SHARD), math.ceil(LEAST_SHARDS * n / total))
+        places.append((at, first, parts))
+        first += parts
+    plan = points.sparkSession.createDataFrame(places, "band int, _first int, _parts int")
+    number = F.col("_first") + F.pmod(F.xxhash64("point"), F.col("_parts"))
+    return points.join(F.broadcast(plan), "band").select("v", "ids", number.cast("int").alias("shard"))
+
+
+def unit_scaled(v: np.ndarray) -> np.ndarray:
+    """Rows by powers of two so that the largest component is about one."""
+    shift = np.frexp(np.abs(v).max(axis=1, initial=0, keepdims=True))[1]
+    return np.ldexp(v, -shift)
+
+
+def lifted(v: np.ndarray) -> np.ndarray:
+    """Vectors of one shard, scaled together and made equally long."""
+    scaled = np.ldexp(v, -int(np.frexp(np.abs(v).max())[1]))
+    square = np.einsum("ij,ij->i", scaled, scaled)
+    top = square.max()
+    return (np.column_stack([scaled, np.sqrt(np.maximum(top - square, 0))]) / math.sqrt(top)).astype(np.float32)
+
+
+def build_index(dealt: DataFrame) -> dict[int, str]:
     """A graph for each ``shard`` of ``v, ids`` rows, in a file of its own.
 
-    ``top`` is the largest squared length. Tasks write under names of their own
+    Tasks write under names of their own
     attempt; only what Spark has committed to the list is read. The list has a row for
     each ``SHARD`` points.
     """
@@ -183,8 +224,7 @@ def build_index(dealt: DataFrame, top: float) -> dict[int, str]:
 
     def build(group: pa.Table) -> pa.Table:
         v = matrix(group.column("v").combine_chunks())
-        rest = np.sqrt(np.maximum(top - np.einsum("ij,ij->i", v, v), 0))
-        graph = Graph.build(np.column_stack([v, rest]).astype(np.float32))
+        graph = Graph.build(lifted(v))
         ids = group.column("ids").combine_chunks()
         arrays = [v, graph.vectors, graph.edges, np.array([graph.start]), ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()]
         shard = group.column("shard")[0].as_py()
@@ -222,7 +262,7 @@ def search_index(queries: DataFrame, files: dict[int, str], k: int) -> DataFrame
                 names, q = batch["asked"].take(own).to_numpy(), matrix(batch["v"].take(own))
                 for i in range(0, len(q), BATCH):
                     part = q[i : i + BATCH]
-                    flat = np.column_stack([part, np.zeros(len(part))]).astype(np.float32)
+                    flat = np.column_stack([unit_scaled(part), np.zeros(len(part))]).astype(np.float32)
                     found = graph.search(flat, min(max(BEAM, 2 * k), len(v)))[0][:, :k]
                     there = found >= 0
                     who, place = np.repeat(np.arange(len(part)), there.sum(axis=1)), found[there]
@@ -239,7 +279,7 @@ def open_graph(file: str) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     files, place = arrow_fs.FileSystem.from_uri(file)
     with files.open_input_file(place) as source:
         v, vectors, edges, start, bounds, ids = load(source.read())
-    return Graph(vectors, edges, int(start[0])), v, bounds, ids
+    return Graph(vectors, edges, int(start[0]), by_product=True), v, bounds, ids
 
 
 def nearest(vectors: DataFrame, queries: F.Column, k: int = K) -> DataFrame:
@@ -256,12 +296,8 @@ def nearest(vectors: DataFrame, queries: F.Column, k: int = K) -> DataFrame:
     by_id = Window.partitionBy("v").orderBy("vec_id")
     kept = rows.select("v", "vec_id").distinct().withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= k + 1)
     points = kept.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn("point", F.col("ids")[0])
-    points = settle(points, "points")
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    total, top = points.agg(F.count("*"), F.max(square)).first()
-    shards = max(LEAST_SHARDS, math.ceil(total / SHARD))
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("point"), F.lit(shards)).cast("int"))
-    files = build_index(dealt, top)
+    points = points.withColumn("_largest", largest()).withColumn("band", band()).drop("_largest")
+    files = build_index(deal(settle(points, "points")))
     hits = search_index(rows.where("asks").select("v").distinct(), files, k + 1)
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     ranked = (

@@ -164,6 +164,25 @@ def test_recall_on_hard_vectors(spark):
     assert hits / 800 >= 0.9
 
 
+@pytest.mark.parametrize("longer", [1e4, 1e20])
+def test_a_long_vector_costs_the_others_nothing(spark, longer):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(3000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[7] *= longer
+    vectors[8:30] *= 1e-30
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 60 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    right = 0
+    for q in range(0, 3000, 60):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        right += len(found[q] & set(np.argsort(-scores)[:20].tolist()))
+    assert right > 0.95 * 20 * 50
+
+
 def test_neighbours_take_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     data = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0]), (4, [0.0, 0.0]), (5, None), (6, [nan, 1.0])]
