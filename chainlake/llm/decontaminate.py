@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and test items are words, lower-cased, without what is no letter or digit.
+Documents and test items are words, case-folded, without what is no letter or digit of
+any alphabet. In scripts without blanks each character is a word.
 Runs of ``match`` words that a document shares with an item are seeds; documents join
 items on them. Where seeds meet, the longest common run of words that isn't marked yet
 is marked as a tile in both, again and again, until none of ``match`` words is left.
@@ -15,15 +16,18 @@ share an item.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, WORD_BYTES, Rolling, slabs, word_hashes
+from .arrays import BASE, BYTE_VALUES, LOWER, WORD_BYTES, Rolling, finish, slabs, word_hashes
 from .common import forget, settle, text_of, whole_row
 
 #: Words of the shortest tile; share of an item under tiles that makes a leak.
@@ -32,10 +36,64 @@ MATCH, COVERAGE = 5, 0.4
 BLOCK_SEEDS, AT_ONCE = 500_000, 4
 
 
+#: Characters that show nothing and split no word.
+UNSEEN = re.compile("[\u00ad\u200c\u200d\u2060\ufeff\ufe00-\ufe0f]")
+#: Scripts without blanks: Thai and Lao, Myanmar, Khmer, Tai and Lanna, kana and bopomofo,
+#: Chinese characters, Yi, Javanese.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+    (0x3005, 0x3007), (0x3021, 0x3029), (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+    (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+)
+
+
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """For each character: 0 if it parts words, 1 in a word, 2 as a word of its own.
+
+    Marks belong to the letters before them; what no alphabet has yet counts as a letter.
+    """
+    kind = np.ones(0x110000, np.uint8)
+    kind[:0x33500] = [unicodedata.category(chr(c)) in WORD_CATEGORIES for c in range(0x33500)]
+    for first, last in UNSPACED:
+        kind[first : last + 1] *= 2
+    return kind
+
+
+WORD_CATEGORIES = {"Lu", "Ll", "Lt", "Lm", "Lo", "Mn", "Mc", "Me", "Nd", "Nl", "No", "Co", "Cn"}
+
+
+def folded(text: bytes) -> str:
+    """A text so that upper and small letters, in any composition, are the same."""
+    normal = unicodedata.normalize("NFC", text.decode("utf-8", "replace")).casefold()
+    return UNSEEN.sub("", unicodedata.normalize("NFC", normal))
+
+
 def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word fingerprints and the text of each."""
-    hashes, doc, _, _ = word_hashes(LOWER[raw], offsets, WORD_BYTES)
-    return hashes, doc
+    if not len(raw) or raw.max() < 128:
+        hashes, doc, _, _ = word_hashes(LOWER[raw], offsets, WORD_BYTES)
+        return hashes, doc
+    data = raw.tobytes()
+    texts = [folded(data[a:b]) for a, b in zip(offsets, offsets[1:])]
+    offsets = np.cumsum([0, *map(len, texts)])
+    chars = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
+    kind = np.append(kinds()[chars], 0)
+    begins = np.zeros(len(kind), bool)  # of documents
+    begins[offsets] = True
+    before = np.append(0, kind[:-1])
+    starts = np.flatnonzero((kind == 2) | (kind == 1) & ((before != 1) | begins))
+    stops = np.flatnonzero((before == 2) | (before == 1) & ((kind != 1) | begins))
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    return Rolling(values_of(chars)).runs(starts, stops), doc
+
+
+def values_of(chars: np.ndarray) -> np.ndarray:
+    """A number for each character; those of ASCII are the ones of :mod:`arrays`."""
+    values = finish((chars.astype(np.uint64) + np.uint64(1)) * np.uint64(BASE))
+    ascii_ = chars < 128
+    values[ascii_] = BYTE_VALUES[chars[ascii_]]
+    return values
 
 
 def seeds_of(words: np.ndarray, match: int) -> np.ndarray:

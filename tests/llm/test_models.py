@@ -1,5 +1,6 @@
 """Classifiers on held-out rows, neighbours by recall, leaks by planting."""
 
+import unicodedata
 import zlib
 
 import numpy as np
@@ -223,6 +224,22 @@ def leaks(docs, benchmark, **options):
     }
 
 
+ACCENTED = "Größere Äpfel fallen über die Straße – où l’été s’achève déjà, mañana año tras año señor él."
+UNSPACED = "我们今天在北京的大学里学习自然语言处理的基本方法"
+
+
+def test_leaks_in_any_alphabet(spark, documents):
+    """Capitals, other forms of letters, blanks and dashes hide no passage."""
+    rows = [(1, ACCENTED), (2, UNSPACED), (3, "Что имеем не храним потерявши плачем всегда")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    docs = {
+        1: ACCENTED.upper(), 2: unicodedata.normalize("NFD", ACCENTED), 3: ACCENTED.replace(" ", "\u00a0").replace("–", "—"),
+        4: f"以前{UNSPACED[:15]}以后", 5: rows[2][1].upper(), 6: ACCENTED.replace("fallen", "fal\u00adlen"), 7: "Äpfel über die Straße",
+    }
+    got = leaks(documents(docs.items()), items)
+    assert got == {1: {(1, 1.0)}, 2: {(1, 1.0)}, 3: {(1, 1.0)}, 4: {(2, 0.625)}, 5: {(3, 1.0)}, 6: {(1, 1.0)}, 7: set()}
+
+
 def test_reordered_passages_are_whole_ones(documents, benchmark):
     a, b, c = ITEM.replace("!", ".").split(". ")
     docs = {
