@@ -28,4 +28,7 @@ def merge_sources(
     union = reduce(DataFrame.unionByName, ranked)
     names = [*key, "priority", *(n for n in union.columns if n not in (*key, "priority"))]
     best = union.groupBy(*key).agg(F.min("priority").alias("priority"))
-    return union.join(best, [*key, "priority"], "left_semi").select(*names)
+    # a null key is a key like any other
+    settled = best.select(*(F.col(f"`{n}`").alias(f"_settled_{i}") for i, n in enumerate([*key, "priority"])))
+    same = [F.col(f"`{n}`").eqNullSafe(F.col(f"_settled_{i}")) for i, n in enumerate([*key, "priority"])]
+    return union.join(settled, same, "left_semi").select(*names)

@@ -241,3 +241,11 @@ def test_session_scratch_needs_a_shared_folder_on_a_cluster(spark):
         scratch_dir(Cluster, "x")
     Cluster.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert scratch_dir(Cluster, "x").startswith("hdfs:///shared/x-")
+
+
+def test_merge_keeps_rows_with_null_keys(spark, rows):
+    schema = "seqno long, part string, payload string"
+    first = spark.createDataFrame([(1, "a", "x"), (None, "a", "y"), (2, None, "z")], schema)
+    second = spark.createDataFrame([(None, "a", "late"), (None, None, "n"), (3, "c", "w")], schema)
+    merged = sources.merge_sources([first, second], ["seqno", "part"])
+    assert rows(merged, "payload") == [("n",), ("w",), ("x",), ("y",), ("z",)]
