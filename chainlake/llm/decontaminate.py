@@ -112,7 +112,10 @@ class Items:
         bounds = np.searchsorted(item, np.arange(len(rows) + 1))
         self.words = [words[a:b] for a, b in zip(bounds, bounds[1:])]
         # an item shorter than a seed is one seed as a whole
-        self.short = {int(seeds_of(w, len(w))[0]): i for i, w in enumerate(self.words) if 0 < len(w) < match}
+        self.short: dict[int, list[int]] = defaultdict(list)
+        for i, w in enumerate(self.words):
+            if 0 < len(w) < match:
+                self.short[int(seeds_of(w, len(w))[0])].append(i)
         self.short_lengths = sorted({len(w) for w in self.words if 0 < len(w) < match})
         places = [(seeds_of(w, match), i) for i, w in enumerate(self.words) if len(w) >= match]
         keys = np.concatenate([p for p, _ in places] or [np.zeros(0, np.uint64)])
@@ -139,8 +142,8 @@ class Items:
                 k += 1
         for n in self.short_lengths:
             for i, seed in enumerate(seeds_of(words, n).tolist() if self.short else []):
-                if seed in self.short:
-                    found[self.short[seed]].append((i, 0))
+                for owner in self.short.get(seed, ()):
+                    found[owner].append((i, 0))
         return found
 
 

@@ -240,6 +240,11 @@ def test_leaks_in_any_alphabet(spark, documents):
     assert got == {1: {(1, 1.0)}, 2: {(1, 1.0)}, 3: {(1, 1.0)}, 4: {(2, 0.625)}, 5: {(3, 1.0)}, 6: {(1, 1.0)}, 7: set()}
 
 
+def test_short_items_of_equal_text_leak_each(spark, documents):
+    items = spark.createDataFrame([(1, "one two three"), (2, "One, two, three"), (3, "two")], "item_id long, text string")
+    assert leaks(documents([(1, "so one two three go")]), items) == {1: {(1, 1.0), (2, 1.0), (3, 1.0)}}
+
+
 def test_reordered_passages_are_whole_ones(documents, benchmark):
     a, b, c = ITEM.replace("!", ".").split(". ")
     docs = {
