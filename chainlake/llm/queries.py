@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, encode, language, neighbours, packing, quality, simhash, substring, suffix, token_files, toxicity
+from . import decontaminate, encode, language, neighbours, packing, quality, simhash, spelling, substring, suffix, token_files, toxicity
 from .common import fold, table
 
 
@@ -89,6 +89,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "ambiguous")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the frequent words of all documents."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -102,6 +107,7 @@ QUERIES = {
         op8_toxicity,
         op9_benchmark_decontamination,
         op10_language_id,
+        op13_spelling_variants,
     )
 }
 
