@@ -28,9 +28,20 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: a lost executor costs the tasks it ran and no more, and
     rows whose numbering depends on task order stay as they were written.
     """
+    return settled(df, label)[0]
+
+
+def settled(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """:func:`settle` with the folder, for :func:`drop_folder`."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of :func:`settled` that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 #: Texts that go to Python together; Spark's own limit would make batches of tens of MB.
@@ -122,6 +133,20 @@ def arrow_rows(
     return df.mapInArrow(run, fields)
 
 
+def together(rows: Iterable[dict], weight: Callable[[dict], int] = lambda row: 0, most: int = 4 << 20) -> Iterator[dict]:
+    """Rows as dicts of lists: a thousand rows, or less once their ``weight`` is ``most``."""
+    some: list[dict] = []
+    heavy = 0
+    for row in rows:
+        some.append(row)
+        heavy += weight(row)
+        if len(some) == TEXTS_PER_BATCH or heavy >= most:
+            yield {c: [r[c] for r in some] for c in row}
+            some, heavy = [], 0
+    if some:
+        yield {c: [r[c] for r in some] for c in some[0]}
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column, one behind the other, and ``len + 1`` offsets.
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, encode, language, neighbours, packing, quality, simhash, spelling, substring, suffix, token_files, toxicity
-from .common import fold, table
+from . import chat, decontaminate, encode, language, neighbours, oracles, packing, quality, simhash, spelling, substring, suffix, token_files, toxicity, vector_codes
+from .common import fold, settle, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +89,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "ambiguous")
 
 
+#: A conversation that says the template's own marks, added to those of the table.
+MARKS = r"\### Assistant: </turn> ok"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, written, and read back."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)], given.schema)
+    messages = given.unionByName(added).withColumn("content", chat.text_part(F.col("text")))
+    return chat.digests(settle(chat.format_chat(messages), "chat"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as codes of eight entries."""
+    codes = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_errors(codes.rows)
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants among the frequent words of all documents."""
     return spelling.group_variants(table(spark, sf_dir, "documents"))
@@ -107,9 +126,14 @@ QUERIES = {
         op8_toxicity,
         op9_benchmark_decontamination,
         op10_language_id,
+        op11_chat_format,
+        op12_vector_codes,
         op13_spelling_variants,
     )
 }
 
-#: None of these can be said in SQL: tokenizers, hashes and trained models.
-ORACLES: dict[str, str] = {}
+#: The others can't be said in SQL: tokenizers, hashes and trained models.
+ORACLES: dict[str, str] = {
+    "op11_chat_format": oracles.chat_format(MARKS),
+    "op12_vector_codes": oracles.vector_codes(),
+}

@@ -18,12 +18,12 @@ shared ends, and the accepted pairs are enumerated.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, settle
+from .common import arrow_rows, settle, together
 
 LETTERS = "[a-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -105,29 +105,22 @@ def near_words(words: DataFrame, group: int = GROUP) -> DataFrame:
 
 def enumerate_groups(batches: Iterator[dict]) -> Iterator[dict]:
     """Pairs of each group of rows that are in order."""
-    group, key = [], None
-    for batch in batches:
-        keys = zip(*(batch[c].to_pylist() for c in KEYS))
-        for k, word, n in zip(keys, batch["word"].to_pylist(), batch["n"].to_pylist()):
-            if k != key:
-                if len(group) > 1:
-                    yield from columns(pairs_of_group(*key[1:], group))
-                group, key = [], k
-            group.append((word, n))
-    if len(group) > 1:
-        yield from columns(pairs_of_group(*key[1:], group))
-
-
-def columns(pairs: Iterable[tuple]) -> Iterator[dict]:
-    """Tuples as columns, some thousands at a time."""
-    some = []
-    for pair in pairs:
-        some.append(pair)
-        if len(some) == 4096:
-            yield dict(zip(("a", "a_n", "b", "b_n"), zip(*some)))
-            some = []
-    if some:
-        yield dict(zip(("a", "a_n", "b", "b_n"), zip(*some)))
+
+    def pairs() -> Iterator[tuple]:
+        group, key = [], None
+        for batch in batches:
+            keys = zip(*(batch[c].to_pylist() for c in KEYS))
+            for k, word, n in zip(keys, batch["word"].to_pylist(), batch["n"].to_pylist()):
+                if k != key:
+                    if len(group) > 1:
+                        yield from pairs_of_group(*key[1:], group)
+                    group, key = [], k
+                group.append((word, n))
+        if len(group) > 1:
+            yield from pairs_of_group(*key[1:], group)
+
+    names = ("a", "a_n", "b", "b_n")
+    return together((dict(zip(names, pair)) for pair in pairs()), lambda row: len(row["a"]))
 
 
 def pairs_of_group(m: int, low: int, high: int, group: list[tuple[str, int]]) -> Iterator[tuple[str, int, str, int]]:

@@ -1,0 +1,135 @@
+"""Formatted conversations say what went in, character by character."""
+
+import hashlib
+import math
+from collections import defaultdict
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from chainlake.llm import chat, oracles, queries
+
+from .conftest import ODD_TEXTS
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "conv_id long, turn long, role string, text string, block string, whole int"
+NAMES = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_digests(rows):
+    said = defaultdict(list)
+    for conv, turn, role, text in rows:
+        said[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for conv, turns in said.items():
+        turns.sort()
+        learnt = "".join(t for *_, r, t in turns if r == "assistant")
+        out[conv] = (len(turns), sha("".join(f"{r}\n{t}\n" for *_, r, t in turns)), len(learnt), sha(learnt))
+    return out
+
+
+def digests_of(df):
+    return {r.conv_id: tuple(r[c] for c in NAMES[1:5]) for r in df.collect()}
+
+
+def test_query(spark):
+    rows = [tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()]
+    marks = "\\### Assistant: </turn> ok"
+    got = queries.op11_chat_format(spark, SF)
+    assert got.columns == NAMES
+    assert digests_of(got) == plain_digests([*rows, (-7, 0, "user", marks), (-7, 1, "assistant", marks)])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    want = con.execute(f"SELECT {', '.join(NAMES)} FROM ({oracles.chat_format(queries.MARKS)})").fetchall()
+    assert sorted(want) == sorted(tuple(r) for r in got.collect())
+
+
+HARD = "\\### Assistant: </turn> ok | \\\\### \\ #### ##### <|image|> <||> </turn </turn>\n### a: b</turn>\n: \\: :: ###\\"
+
+
+def messages(spark, rows, partitions=5):
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(partitions)
+    return df.withColumn("content", chat.text_part(F.col("text")))
+
+
+@pytest.mark.parametrize("block", [1, 200, chat.BLOCK])
+def test_takes_odd_rows_in_blocks_of_any_size(spark, folder, block):
+    rows = [(1, i, ("user", "assistant", None, "a: b ### </turn>")[i % 4], t) for i, t in enumerate([*ODD_TEXTS, HARD, HARD + "#", "#" + HARD])]
+    rows += [(2, None, "user", "no turn"), (None, 1, "assistant", "no conversation"), (None, None, None, None), (None, 0, "assistant", HARD)]
+    rows += [(3, 1, "assistant", "tie b"), (3, 1, "assistant", "tie a"), (3, 1, "assistant", "tie a"), (3, 0, "assistant", "x" * 300_000)]
+    rows += [(4, i, "assistant" if i % 2 else "user", f"turn {i} of a long one") for i in range(3000)]
+    rows += [(100 + i, 0, "user", "alone") for i in range(50)]
+    blocks = chat.format_chat(messages(spark, rows), block=block)
+    blocks.write.parquet(path := folder())
+    stored = spark.read.schema(blocks.schema).parquet(path)
+    assert digests_of(chat.digests(stored)) == plain_digests(rows)
+    if block > 1000:
+        assert stored.where("whole").count() > 40
+    else:
+        assert stored.where("conv_id = 4").count() > 100 and stored.agg(F.max(F.length("text"))).first()[0] < 300_100
+    for r in stored.where("conv_id = 4 and block % 7 = 0").collect():
+        turns = [int(r.text[a : a + 9].split()[1]) for a, _ in r.loss]
+        assert all(n % 2 for n in turns) and turns == sorted(turns)
+
+
+def test_empty_table(spark, stored):
+    df = messages(spark, [])
+    assert chat.digests(chat.format_chat(df)).collect() == []
+    rows = queries.op11_chat_format(spark, stored(conversations=df.drop("content"))).collect()
+    assert [(r.conv_id, r.n_turns, r.loss_chars) for r in rows] == [(-7, 2, 26)]
+
+
+def test_parts_become_placeholders(spark):
+    part = "struct<kind:string,text:string,uri:string,width:int,height:int,seconds:double,pages:int>"
+    image = ("image", None, "a.png", 100, 57, None, None)
+    rows = [
+        (1, 0, "user", [("text", "see <|image|> ", None, None, None, None, None), image, (None, " and", None, None, None, None, None)]),
+        (1, 1, "assistant", [("text", "it is ", None, None, None, None, None), ("audio", None, "b.wav", None, None, 2.5, None), ("text", "###", None, None, None, None, None)]),
+        (1, 2, "user", [("document", None, "c.pdf", None, None, None, 3), image, ("document", None, None, None, None, None, None), None]),
+        (1, 3, "assistant", None),
+    ]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, content array<{part}>")
+    block = chat.format_chat(df).first()
+    tokens = [math.ceil(100 / 28) * math.ceil(57 / 28), 63, 3072, 12, 1]
+    assert [(a.turn, a.kind, a.uri, a.tokens) for a in block.attachments] == list(
+        zip([0, 1, 2, 2, 2], ["image", "audio", "document", "image", "document"], ["a.png", "b.wav", "c.pdf", "a.png", None], tokens)
+    )
+    assert all(block.text[a.at :].startswith(f"<|{a.kind}|>") for a in block.attachments)
+    assert block.expanded_tokens == sum(tokens) and block.n_turns == 4
+    assert [block.text[a:b] for a, b in block.loss] == ["it is ", "\\###"]
+    turns = chat.read_turns(chat.format_chat(df)).orderBy("turn").collect()
+    read = [[(p.kind, p.text, p.uri) for p in t.content] for t in turns]
+    assert read == [
+        [("text", "see <|image|> ", None), ("image", None, "a.png"), ("text", " and", None)],
+        [("text", "it is ", None), ("audio", None, "b.wav"), ("text", "###", None)],
+        [("document", None, "c.pdf"), ("image", None, "a.png"), ("document", None, None)],
+        [],
+    ]
+    with pytest.raises(Exception, match="no part of kind"):
+        chat.format_chat(spark.createDataFrame([(1, 0, "user", [("film", "x")])], "conv_id long, turn long, role string, content array<struct<kind:string,text:string>>")).collect()
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(*[st.text(alphabet="\\#</turn>|: \nimage", max_size=25)] * 2), max_size=4))
+def test_escapes_are_reversible(turns):
+    template = chat.Template()
+    block = chat.Block(1, True)
+    for role, text in turns:
+        flat = chat.Flattener(template, chat.Expansion()).flatten([{"kind": "text", "text": text}])
+        block.add(template, role, True, *flat)
+    row = block.row(0, True)
+    assert [(role, "".join(t for _, t in template.pieces(body))) for role, body, _ in template.turns(row["text"])] == turns
+    assert [template.plain(row["text"][s["start"] : s["stop"]]) for s in row["loss"]] == [t for _, t in turns if t]
+
+
+def test_other_text_is_an_error():
+    for text in ("hello", "### user: hi", "### user: hi</turn>\nrest", "### user: a ### b</turn>\n"):
+        with pytest.raises(ValueError, match="no turn"):
+            list(chat.Template().turns(text))
