@@ -8,11 +8,15 @@ end to end are the ids of the text:
 * ``bytes``: a blank in front of a character that is no white space begins a
   pre-token; cut before it and nowhere else.
 
-Pieces repeat far more often than texts, so a worker keeps the ids of the pieces
-it has seen and hands only new ones to the library, many to a call. What parts
-them in the result: the first byte of a piece is a blank for ``bytes``, and no
-other byte is; for ``words`` a control character stands between them as a word.
-The memory of pieces is emptied once it holds ``LIMIT`` of them.
+Pieces repeat far more often than texts. Arrow splits a batch of texts and numbers its
+distinct pieces; a worker keeps the ids of pieces it has seen in one array and hands
+only new ones to the library, many to a call, so nothing is done piece by piece but the look
+for each distinct one. What parts the pieces of a call in the result: the first byte
+of a piece is a blank for ``bytes``, and no other byte is; for ``words`` a control character
+stands between them as a word. The memory of pieces is emptied once it holds ``LIMIT``.
+
+A text that holds the string of a special token, such as ``<|endoftext|>``, goes to the
+library whole, which takes such a string for one id; with ``special_as_text`` for text.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import MEMORIES
 
@@ -35,7 +41,7 @@ MARK = "\x01"
 #: How a byte-level vocabulary writes a blank.
 BLANK = "\u0120"
 
-_encoders: dict[tuple[str, str], PieceEncoder] = {}
+_encoders: dict[tuple, PieceEncoder] = {}
 MEMORIES.append(_encoders)
 
 
@@ -46,23 +52,55 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str, cut: str) -> PieceEncoder:
+def encoder(path: str, cut: str, special_as_text: bool = False) -> PieceEncoder:
     """The worker's encoder for a tokenizer file, made at its first use."""
-    if (path, cut) not in _encoders:
-        _encoders[path, cut] = PieceEncoder(path, cut)
-    return _encoders[path, cut]
+    key = path, cut, special_as_text
+    if key not in _encoders:
+        _encoders[key] = PieceEncoder(*key)
+    return _encoders[key]
 
 
-def first_apart(pieces: list[str]) -> list[str]:
-    """Mark the one piece no blank stood before; else blanks are left off pieces."""
-    pieces[0] = " " + pieces[0]
-    return pieces
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.array, self.size = np.zeros(1024, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        stop = self.size + len(values)
+        if stop > len(self.array):
+            self.array = np.resize(self.array, max(stop, 2 * len(self.array)))
+        self.array[self.size : stop] = values
+        self.size = stop
+
+
+class Memory:
+    """Pieces by name, and where the ids of each lie in one array."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.starts, self.lengths, self.ids = Grown(np.int64), Grown(np.int64), Grown(np.uint32)
+
+    def add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
+        if pieces:
+            lengths = np.array([len(x) for x in ids])
+            self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
+            self.lengths.extend(lengths)
+            self.ids.extend(np.concatenate(ids))
+            self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
+
+    def joined(self, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The ids of the pieces, end to end; of some with ``lengths`` zero nothing."""
+        before = np.cumsum(lengths) - lengths
+        at = np.repeat(self.starts.array[numbers] - before, lengths)
+        at += np.arange(len(at))
+        return self.ids.array[at]
 
 
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, cut: str):
+    def __init__(self, path: str, cut: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -70,31 +108,72 @@ class PieceEncoder:
             raise ValueError(f"cut must be words or bytes, not {cut!r}")
         self.cut = cut
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are text
+        self.library.encode_special_tokens = special_as_text
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = None if special_as_text or not special else "|".join(map(re.escape, special))
         names = self.library.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(names.values()) + 1, bool)  # by id: a piece begins, or the mark
         if cut == "bytes":
             self.opens[[i for name, i in names.items() if name.startswith(BLANK)]] = True
         else:
             self.opens[self.ids([MARK])[0]] = True
-        self.known: dict[str, bytes] = {}
+        self.known = Memory()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; what the library gives for the whole text."""
-        if len(self.known) > LIMIT:
-            self.known = {}
-        lists = [text.replace("\n", " ").split(" ") if self.cut == "words" else first_apart(text.split(" ")) for text in texts]
-        known = self.known
-        fresh = set().union(*lists).difference(known)
+        ids, lengths = self.encode_all(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(lengths)[:-1])] if texts else []
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has; null texts have none."""
+        if len(self.known.number) > LIMIT:
+            self.known = Memory()
+        texts = texts.fill_null("")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " ") if self.cut == "words" else texts, " ")
+        counts = lists.value_lengths().to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(texts)), counts)
+        firsts = np.cumsum(counts) - counts
+        coded = lists.flatten().dictionary_encode()
+        piece, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        odd = np.zeros(len(texts), bool)
+        if self.special:
+            odd |= pc.match_substring_regex(texts, self.special, ignore_case=True).to_numpy(zero_copy_only=False)
         if self.cut == "bytes":
-            unsafe = {p for p in fresh if not p or p[0] != " " and p[0].isspace()}
+            # no blank stands before the first piece of a text; such pieces are marked by one
+            heads = [" " + distinct[p] for p in piece[firsts]]
+            number = {h: i for i, h in enumerate(dict.fromkeys(heads), len(distinct))}
+            piece[firsts] = [number[h] for h in heads]
+            distinct += number
+            unsafe = [i for i, p in enumerate(distinct) if not p or p[0] != " " and p[0].isspace()]
             if unsafe:
-                for i, pieces in enumerate(lists):
-                    if not unsafe.isdisjoint(pieces):
-                        lists[i] = first_apart(INNER.split(texts[i]))
-                fresh = set().union(*lists).difference(known)
-        self.learn(fresh)
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in lists]
+                wrong = np.zeros(len(distinct), bool)
+                wrong[unsafe] = True
+                odd[row[wrong[piece]]] = True
+                for i in unsafe:
+                    distinct[i] = " "  # encoded as nothing; the texts are done below
+        self.learn(set(distinct).difference(self.known.number))
+        numbers = np.fromiter(map(self.known.number.__getitem__, distinct), np.int64, len(distinct))[piece]
+        lengths = self.known.lengths.array[numbers]
+        lengths[odd[row]] = 0
+        ids = self.known.joined(numbers, lengths)
+        sizes = np.bincount(row, weights=lengths, minlength=len(texts)).astype(np.int64)
+        if not odd.any():
+            return ids, sizes
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        for i in np.flatnonzero(odd).tolist():
+            parts[i] = self.encode_alone(texts[i].as_py())
+            sizes[i] = len(parts[i])
+        return np.concatenate(parts), sizes
+
+    def encode_alone(self, text: str) -> np.ndarray:
+        """Ids of a text with special tokens, or with white space of other kinds before words."""
+        if self.cut == "words" or self.special and re.search(self.special, text, re.IGNORECASE):
+            return self.ids([text])[0]
+        first, *pieces = INNER.split(text)
+        pieces = [" " + first, *pieces]
+        self.learn(set(pieces).difference(self.known.number))
+        numbers = np.array([self.known.number[p] for p in pieces])
+        return self.known.joined(numbers, self.known.lengths.array[numbers])
 
     def spelled(self, piece: str) -> str:
         """The text that a piece stands for."""
@@ -115,16 +194,23 @@ class PieceEncoder:
             if len(begins) != len(group):
                 alone.update(group)
                 continue
-            raw = ids.tobytes()
-            stops = [*(begins[1:] * 4).tolist(), len(raw)]
-            begins = ((begins + (self.cut == "words")) * 4).tolist()
-            self.known.update(zip(group, (raw[a:b] for a, b in zip(begins, stops))))
+            after = begins + (self.cut == "words")
+            self.known.add(group, [ids[a:b] for a, b in zip(after, [*begins[1:], len(ids)])])
         rest = list(alone)
-        for piece, ids in zip(rest, self.ids([self.spelled(p) for p in rest])):
-            self.known[piece] = ids.tobytes()
+        self.known.add(rest, self.ids([self.spelled(p) for p in rest]))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, "<u4") for f in found]
+
+
+def closed(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """``ids`` with an end id behind each text."""
+    lengths = lengths + 1
+    out = np.empty(len(ids) + len(lengths), np.uint32)
+    ends = np.zeros(len(out), bool)
+    ends[np.cumsum(lengths) - 1] = True
+    out[ends], out[~ends] = end_id, ids
+    return out, lengths

@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, document_texts, settle
-from .encode import encoder
+from .encode import closed, encoder
 
 CAPACITY = 4096
 END_ID = 1
 
 #: Texts encoded together.
-BATCH = 500
+BATCH = 1_000
 
 
 def encode_pieces(
@@ -42,22 +42,20 @@ def encode_pieces(
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         tokens, part = encoder(path, cut), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        end = np.array([end_id], "<u4").tobytes()
-        step = 4 * capacity
         for batch in batches:
             for at in range(0, len(batch["doc_id"]), BATCH):
                 keys = batch["doc_id"].slice(at, BATCH).to_pylist()
-                texts = batch["text"].slice(at, BATCH).to_pylist()
+                ids, sizes = closed(*tokens.encode_all(batch["text"].slice(at, BATCH)), end_id)
+                raw, begin = memoryview(ids.tobytes()), 0
                 out = {n: [] for n in ("doc_id", "piece", "start", "length", "ids", "place")}
-                for key, ids in zip(keys, tokens.encode(texts)):
-                    ids += end
-                    for piece, begin in enumerate(range(0, len(ids), step)):
-                        raw = ids[begin : begin + step]
-                        length = len(raw) // 4
-                        values = (key, piece, begin // 4, length, raw, int(seen[length]))
-                        for column, value in zip(out.values(), values):
+                for key, size in zip(keys, sizes.tolist()):
+                    for piece, start in enumerate(range(0, size, capacity)):
+                        length = min(capacity, size - start)
+                        own = bytes(raw[4 * (begin + start) : 4 * (begin + start + length)])
+                        for column, value in zip(out.values(), (key, piece, start, length, own, int(seen[length]))):
                             column.append(value)
                         seen[length] += 1
+                    begin += size
                 yield out | {"part": [part] * len(out["doc_id"])}
 
     schema = "doc_id long, piece int, start long, length long, ids binary, part int, place long"

@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from chainlake.session import scratch_dir
 
 from .common import arrow_rows, document_texts, load, save, settle, shuffle_partitions
-from .encode import encoder
+from .encode import closed, encoder
 
 END_ID = 0
 #: Bytes of text that a shard is cut for.
 SHARD_BYTES = 32 << 20
 #: Texts encoded together; bytes of payload read at once.
-BATCH, READ = 500, 8 << 20
+BATCH, READ = 1_000, 8 << 20
 #: Bits of a level for each key that it gets.
 LOAD = 2
 
@@ -172,9 +172,8 @@ def write_token_files(
                     files, place = arrow_fs.FileSystem.from_uri(folder)
                     files.create_dir(place, recursive=True)
                     tokens, out = encoder(path, cut), files.open_output_stream(f"{place}/{name}.bin")
-                coded = [np.append(np.frombuffer(x, "<u4"), np.uint32(end_id)) for x in tokens.encode(batch["text"].slice(at, BATCH).to_pylist())]
-                lengths += map(len, coded)
-                joined = np.concatenate(coded)
+                joined, sizes = closed(*tokens.encode_all(batch["text"].slice(at, BATCH)), end_id)
+                lengths += sizes.tolist()
                 if id_bytes == 2 and joined.max() > 0xFFFF:
                     raise ValueError("these ids need four bytes: set id_bytes=4")
                 out.write(joined.astype(kind).tobytes())
@@ -213,8 +212,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     """All documents from the files: ``doc_id, start, n_tokens, ids, ids_crc32``.
 
     ``start`` counts the ids of all documents before; ``ids`` are little-endian
-    unsigned 32-bit integers. Each key is looked up in its shard's hash; one that
-    doesn't lead to its first document, or a payload of another length, is an error.
+    unsigned 32-bit integers. A document's ids are sliced from the payload where its
+    shard's hash says that its key is; a key that leads elsewhere, or a payload of another
+    length, is an error.
     """
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -226,13 +226,14 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 starts, at = shard.starts, 0
                 while at < len(shard.keys):
                     stop = max(at + 1, int(np.searchsorted(starts, starts[at] + READ // 4, "right")) - 1)
-                    ids = memoryview(ids_of(payload, int(starts[at]), int(starts[stop]), width).tobytes())
-                    bounds = ((starts[at : stop + 1] - starts[at]) * 4).tolist()
+                    begin, end = found_places(shard, at, stop, file)
+                    ids = memoryview(ids_of(payload, int(begin[0]), int(end[-1]), width).tobytes())
+                    bounds = ((np.append(begin, end[-1]) - begin[0]) * 4).tolist()
                     raw = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
                     yield {
                         "doc_id": pa.array(shard.keys[at:stop], mask=~shard.keyed[at:stop]),
-                        "start": first + starts[at:stop],
-                        "n_tokens": np.diff(starts[at : stop + 1]),
+                        "start": first + begin,
+                        "n_tokens": end - begin,
                         "ids": pa.Array.from_buffers(pa.binary(), stop - at, [None, pa.py_buffer(np.array(bounds, np.int32)), pa.py_buffer(ids)]),
                         "ids_crc32": [zlib.crc32(x) for x in raw],
                     }
@@ -243,13 +244,26 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     return arrow_rows(spread, run, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
 
 
+def found_places(shard: Shard, at: int, stop: int, file: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the ids of the documents from ``at`` to ``stop`` begin and end.
+
+    Documents are looked up by key in the hash. Those without a key, and all but the
+    first of one key, follow the document before them.
+    """
+    place, keys = np.arange(at, stop), shard.keys[at:stop]
+    before = (shard.keys[at - 1], shard.keyed[at - 1]) if at else (0, False)
+    same = (keys == np.append(before[0], keys[:-1])) & np.append(before[1], shard.keyed[at : stop - 1])
+    asked = shard.keyed[at:stop] & ~same
+    place[asked] = shard.hash.find(keys[asked])
+    begin, end = shard.starts[place], shard.starts[place + 1]
+    if (place < 0).any() or not np.array_equal(begin[1:], end[:-1]) or begin[0] != shard.starts[at]:
+        raise OSError(f"{file}: index and payload don't belong together")
+    return begin, end
+
+
 def check(shard: Shard, payload: pa.NativeFile, file: str, width: int, tokens: int) -> None:
-    """Raise unless index, payload and manifest agree."""
-    own = np.flatnonzero(shard.keyed)
-    found = shard.hash.find(shard.keys[own])
-    first = np.ones(len(own), bool)
-    first[1:] = np.diff(shard.keys[own]) != 0
-    if not np.array_equal(found[first], own[first]) or payload.size() != tokens * width or shard.starts[-1] != tokens:
+    """Raise unless index, payload and manifest have one size."""
+    if payload.size() != tokens * width or shard.starts[-1] != tokens:
         raise OSError(f"{file}: index and payload don't belong together")
 
 

@@ -22,7 +22,6 @@ def plain():
     made = {}
     for path in (WORDS, BYTES):
         made[path] = Tokenizer.from_file(path)
-        made[path].encode_special_tokens = True
     return lambda path, text: made[path].encode(text or "", add_special_tokens=False).ids
 
 
@@ -46,6 +45,17 @@ def test_odd_texts(plain):
         assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain(path, t) for t in ODD_TEXTS]
 
 
+@pytest.mark.parametrize("path, cut", [(WORDS, "words"), (BYTES, "bytes")])
+def test_special_tokens_are_ids_or_text(path, cut, plain):
+    texts = ["a <|endoftext|> b", "<|ENDOFTEXT|>", "x<|startoftext|>y  z", " <|endoftext|>\n  <|endoftext|", "plain", ""]
+    assert [np.frombuffer(x, "<u4").tolist() for x in PieceEncoder(path, cut).encode(texts)] == [plain(path, t) for t in texts]
+    as_text = Tokenizer.from_file(path)
+    as_text.encode_special_tokens = True
+    got = PieceEncoder(path, cut, special_as_text=True).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [as_text.encode(t, add_special_tokens=False).ids for t in texts]
+    assert plain(path, texts[0]) != as_text.encode(texts[0], add_special_tokens=False).ids
+
+
 def check_packed(rows, texts, plain, capacity=4096):
     """Pieces are right, sequences gapless and not over full."""
     by_doc, by_sequence = {}, {}
