@@ -53,9 +53,10 @@ class Chunks:
         writer.option("path", scratch_dir(spark, "chunks")).format("parquet").saveAsTable(name)
         self.table = spark.table(name)
 
-    def with_rows(self, added: str) -> T.StructType:
+    def with_rows(self, added: str = "") -> T.StructType:
         """A schema of ``row``, which is a whole row of the documents, and more columns."""
-        return T.StructType([T.StructField("row", self.fields), *T.StructType.fromDDL(added).fields])
+        more = T.StructType.fromDDL(added).fields if added else []
+        return T.StructType([T.StructField("row", self.fields), *more])
 
     def map(self, fn: Callable[[dict, pa.StructArray], Iterator[dict] | list[dict]], schema, answers: list[DataFrame] = ()) -> DataFrame:
         """Rows that ``fn`` makes of each chunk: its number and answers, its documents."""
@@ -72,16 +73,19 @@ class Chunks:
 
         return arrow_rows(met, run, schema)
 
-    def ask(self, fn, decide, marks: tuple[str, ...], extras: dict[str, str], answers: list[DataFrame] = ()) -> DataFrame:
+    def ask(
+        self, fn, decide, marks: tuple[str, ...], extras: dict[str, str], answers: list[DataFrame] = (), short: bool = False
+    ) -> DataFrame:
         """Names sent to buckets and answered: ``chunk`` and one column for each mark.
 
         ``fn(known, docs)`` returns ordered distinct names and a dict of ``extras``
         (name: numpy type) beside them. ``decide(names, extras, chunk)`` gets the
         entries of a bucket, chunk after chunk, and returns a boolean array for each
-        mark. A mark comes back as bits for :func:`unpack`.
+        mark. A mark comes back as bits for :func:`unpack`. ``short`` sends only the 32
+        bits after those that name the bucket; two names may then be taken for one.
         """
         shift = np.uint64(64 - (self.buckets.bit_length() - 1)) if self.buckets > 1 else None
-        buckets = self.buckets
+        buckets, kind_of_name = self.buckets, np.uint32 if short else np.uint64
 
         def send(known, docs):
             names, beside = fn(known, docs)
@@ -90,6 +94,8 @@ class Chunks:
             bucket = names >> shift if shift is not None else np.zeros(len(names), np.uint64)
             cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
             full = np.flatnonzero(np.diff(cuts))
+            if short:
+                names = (names << np.uint64(buckets.bit_length() - 1) >> np.uint64(32)).astype(np.uint32)
             out = {"bucket": full, "chunk": np.full(len(full), known["chunk"]), "names": [names[cuts[b] : cuts[b + 1]].tobytes() for b in full]}
             for n, kind in extras.items():
                 column = beside[n].astype(kind)
@@ -98,10 +104,10 @@ class Chunks:
 
         def compare(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             group = pa.Table.from_batches(list(tables)).sort_by("chunk").combine_chunks()
-            lengths = np.array([len(x.as_buffer()) // 8 for x in group.column("names")])
+            lengths = np.array([len(x.as_buffer()) // np.dtype(kind_of_name).itemsize for x in group.column("names")])
             read = lambda n, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(n)])
             chunk = np.repeat(np.arange(len(lengths)), lengths)
-            found = decide(read("names", np.uint64), {n: read(n, kind) for n, kind in extras.items()}, chunk)
+            found = decide(read("names", kind_of_name), {n: read(n, kind) for n, kind in extras.items()}, chunk)
             release()
             ends = np.cumsum(lengths)
             columns = [[np.packbits(x[e - k : e]).tobytes() for e, k in zip(ends, lengths)] for x in found]

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from chainlake.llm import queries, simhash, substring, suffix
+from chainlake.llm import near, queries, simhash, substring, suffix
 from chainlake.llm.components import components
 
 from .conftest import ODD_TEXTS
@@ -192,3 +192,59 @@ def test_simhash_takes_odd_rows(documents, odd_documents):
     assert kept[0].asDict().keys() == set(odd_documents.columns)
     assert simhash.near_duplicates(documents([])).collect() == []
     assert simhash.keep_one_of_each(documents([])).collect() == []
+
+
+def plain_components(texts):
+    """Least ids by Jaccard similarity 0.8 of five-word sets, one pair after the other."""
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+    sets, least = {i: shingles(t) for i, t in texts.items()}, {i: i for i in texts}
+    ids = sorted(sets)
+    pairs = [(a, b) for a in ids for b in ids if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9)]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                changed = True
+    return set(least.values())
+
+
+@pytest.mark.parametrize("crowd, together", [(near.CROWD, near.TOGETHER), (3, 2)])
+def test_near_copies_among_boilerplate(documents, monkeypatch, crowd, together):
+    """Texts that are mostly or partly one passage, chains of edits, and groups of copies."""
+    monkeypatch.setattr(near, "CROWD", crowd)
+    monkeypatch.setattr(near, "TOGETHER", together)
+    rng = np.random.default_rng(4)
+    word = lambda n: [f"{a}{b}" for a, b in zip(rng.choice(list("bcdfg"), n), rng.integers(0, 9999, n))]
+    common, texts = word(80), {}
+    for i in range(60):
+        texts[i] = common[: int(rng.integers(40, 81))] + word(int(rng.integers(5, 60)))
+    for i in range(60, 80):  # chains: each a small edit of the one before
+        texts[i] = list(texts[i - 1]) if i % 10 else word(120)
+        texts[i][int(rng.integers(0, len(texts[i])))] = f"edit{i}"
+    for i in range(80, 120):
+        texts[i] = list(texts[int(rng.integers(60, 80))])
+    for i in range(120, 160):  # all but a few words of the passage, in two versions
+        texts[i] = common[:70] + word(int(rng.integers(1, 12)))
+    texts |= {200: [], 201: [], 202: ["one"], 203: ["ONE"], 204: ["one", "two"]}
+    texts = {i: " ".join(w) for i, w in texts.items()} | {205: None}
+    kept = [r.doc_id for r in near.keep_one_of_each(documents(texts.items())).collect()]
+    assert len(kept) == len(set(kept)) and set(kept) == plain_components(texts)
+
+
+def test_near_copies_at_a_hot_hash(documents):
+    """A passage in a third of many texts brings no pairs of them together."""
+    rng = np.random.default_rng(6)
+    passage = " ".join(f"p{i}" for i in range(60))
+    own = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    texts = {i: f"{own(i, 40)} {passage if i % 3 == 0 else ''} {own(-i - 1, 5)}" for i in range(20_000)}
+    texts |= {30_000 + i: texts[i].replace(f"w{i}x{int(rng.integers(0, 9))} ", "changed ", 1) for i in range(0, 9000, 30)}
+    sets = near.Sets(documents(texts.items(), 8))
+    firsts = sets.beginnings()
+    assert firsts.groupBy("hash").count().agg({"count": "max"}).first()[0] < 10
+    kept = {r.doc_id for r in near.keep_one_of_each(documents(texts.items(), 8)).collect()}
+    assert kept == {i for i in texts if i < 30_000}

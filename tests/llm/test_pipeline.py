@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from chainlake.llm.queries import QUERIES
+from chainlake.llm.queries import ORACLES, QUERIES
 
 from .conftest import ODD_TEXTS
 from .test_models import ITEM
@@ -13,8 +13,8 @@ from .test_models import ITEM
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
-    assert not set(QUERIES) & set(oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert set(QUERIES) & set(oracle_sql()) == set(ORACLES)
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == [
         "drop_toxic", "drop_near_duplicates", "drop_repeated_strings", "drop_leaks", "pack",
     ]
