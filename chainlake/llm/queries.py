@@ -134,6 +134,9 @@ QUERIES = {
 
 #: The others can't be said in SQL: tokenizers, hashes and trained models.
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": oracles.substring_dedup(),
+    "op4_suffix_array_dedup": oracles.suffix_array_dedup(),
     "op11_chat_format": oracles.chat_format(MARKS),
     "op12_vector_codes": oracles.vector_codes(),
+    "op13_spelling_variants": oracles.spelling_variants(),
 }
