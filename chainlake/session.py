@@ -19,6 +19,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
