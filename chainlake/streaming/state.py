@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.common import columns
 from ..operators.state import latest_state
 from ..sinks.files import append_batch
 
@@ -80,3 +81,34 @@ def _newest_snapshot(spark: SparkSession, path: str) -> int | None:
         return spark.read.schema("number long").parquet(f"{path}/snapshots").agg(F.max("number")).first()[0]
     except AnalysisException:
         return None
+
+
+def follow_state_store(
+    changes: DataFrame,
+    checkpoint: str,
+    key: str | Sequence[str] = "account",
+    order: str | Sequence[str] = "seqno",
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Keep the latest row per key in Spark's state store, and nothing else.
+
+    State is bounded by the keys; every task keeps one row per key of a batch before it
+    is shuffled. There is no log to fold: :func:`read_state_store` reads the state
+    itself, also of a query that has stopped. The checkpoint is the table.
+    """
+    key, order = columns(key), columns(order)
+    others = [name for name in changes.columns if name not in (*key, *order)]
+    last = F.max_by(F.struct(*order, *others), F.struct(*order)).alias("last")
+    newest = changes.groupBy(*key).agg(last)
+    writer = newest.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_state_store(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """The latest row per key as of the last batch, or an earlier one that is still kept."""
+    reader = spark.read.format("statestore")
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    stored = reader.load(checkpoint)
+    row = stored.schema["value"].dataType.fields[0].name
+    return stored.select("key.*", f"value.`{row}`.*")
