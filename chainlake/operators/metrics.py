@@ -32,11 +32,9 @@ ALL_VALUES = ".*"
 #: Labels that tell series apart when a call does not say otherwise.
 SERIES = ("metric", "instance", "job")
 
-#: Pieces a bucket of one series is split into, and pieces that are ordered together.
-#: Both shape the work and not the result; a power of two up to 64 divides any bucket of
-#: whole seconds.
-SLOTS = 64
-PAGE = 65_536
+#: A series is cut into slots of time whose samples are put in order together: of ``PAGE``
+#: seconds, or a sixty-fourth of a longer bucket. They shape the work and not the result.
+SLOTS, PAGE = 64, 900
 
 
 @dataclass(frozen=True)
@@ -115,6 +113,37 @@ def _gain(value: Column, previous: Column) -> Column:
     return F.when(value < previous, value).otherwise(value - previous)
 
 
+def _steps(
+    df: DataFrame, bucket: str | int, series: Sequence[str], tie: str | None
+) -> DataFrame:
+    """``bucket, series…, _gain``: what the steps between neighbouring samples add.
+
+    Each series is split into time slots, whose samples are ordered apart from each
+    other; only the ends of a slot go on, to be ordered by series. A slot holds minutes of
+    one series, and a series has some tens of thousands of slots a year, so neither a
+    busy series nor a long one makes a large task. Samples are shuffled once.
+    """
+    seconds = seconds_of(bucket)
+    slot = floor_div(F.unix_micros("ts"), max(PAGE, seconds // SLOTS) * 1_000_000)
+    by_time = ["ts", tie] if tie else ["ts"]
+    dealt = (
+        df.filter(F.col("value").isNotNull())
+        .select(*series, *by_time, "value", slot.alias("_slot"))
+        .repartition("_slot", *series)
+    )
+    in_slot = Window.partitionBy("_slot", *series).orderBy(*by_time)
+    inside = dealt.select("ts", *series, _gain(F.col("value"), F.lag("value").over(in_slot)).alias("_gain"))
+    ends = dealt.groupBy("_slot", *series).agg(
+        F.min("ts").alias("ts"),
+        F.min_by("value", moment(tie)).alias("_first"),
+        F.max_by("value", moment(tie)).alias("_last"),
+    )
+    over_slots = Window.partitionBy(*series).orderBy("_slot")
+    between = ends.select("ts", *series, _gain(F.col("_first"), F.lag("_last").over(over_slots)).alias("_gain"))
+    steps = inside.unionByName(between).filter(F.col("_gain").isNotNull())
+    return steps.select(bucket_start("ts", bucket).alias("bucket"), *series, "_gain")
+
+
 def series_increase(
     df: DataFrame,
     bucket: str | int,
@@ -123,55 +152,10 @@ def series_increase(
 ) -> DataFrame:
     """``bucket, series…, increase``: the increase of each series per bucket.
 
-    A bucket has a row if one of its samples has another before it. Each bucket of a
-    series is split into time slots, whose samples are ordered apart from each other;
-    only (first, last, increase) of a slot goes on. Slots are ordered in pages of
-    bounded length, and pages by their last values. So neither a busy series nor a
-    long one has to be sorted in one task.
+    A bucket has a row if one of its samples has another before it.
     """
     series = columns(series)
-    seconds = seconds_of(bucket)
-    slot = floor_div(F.unix_micros("ts"), seconds * 1_000_000 // SLOTS)
-    by_time = ["ts", tie] if tie else ["ts"]
-    in_slot = Window.partitionBy("_slot", *series).orderBy(*by_time)
-    pieces = (
-        df.filter(F.col("value").isNotNull())
-        .select(*series, *by_time, "value", slot.alias("_slot"))
-        .withColumn("_before", F.lag("value").over(in_slot))
-        .withColumn("_after", F.lead("value").over(in_slot))
-        .groupBy("_slot", *series)
-        .agg(
-            # The first sample has none before it, the last one none after it.
-            F.max(F.when(F.col("_before").isNull(), F.col("value"))).alias("_first"),
-            F.max(F.when(F.col("_after").isNull(), F.col("value"))).alias("_last"),
-            F.sum(_gain(F.col("value"), F.col("_before"))).alias("_inside"),
-        )
-        .withColumn("_page", floor_div(F.col("_slot"), PAGE))
-        .repartition("_page", *series)
-    )
-    over_slots = Window.partitionBy("_page", *series).orderBy("_slot")
-    over_pages = Window.partitionBy(*series).orderBy("_page")
-    inside = pieces.withColumn("_step", _gain(F.col("_first"), F.lag("_last").over(over_slots)))
-    pages = pieces.groupBy("_page", *series).agg(
-        F.min("_slot").alias("_slot"),
-        F.min_by("_first", "_slot").alias("_first"),
-        F.max_by("_last", "_slot").alias("_last"),
-    )
-    between = pages.withColumn("_step", _gain(F.col("_first"), F.lag("_last").over(over_pages)))
-    zero = F.lit(0.0)
-    gained = F.when(
-        F.col("_inside").isNotNull() | F.col("_step").isNotNull(),
-        F.coalesce("_inside", zero) + F.coalesce("_step", zero),
-    )
-    steps = inside.select("_slot", *series, gained.alias("_gain")).unionByName(
-        between.select("_slot", *series, F.col("_step").alias("_gain"))
-    )
-    return (
-        steps.filter(F.col("_gain").isNotNull())
-        .withColumn("bucket", floor_div(F.col("_slot"), SLOTS) * seconds)
-        .groupBy("bucket", *series)
-        .agg(F.sum("_gain").alias("increase"))
-    )
+    return _steps(df, bucket, series, tie).groupBy("bucket", *series).agg(F.sum("_gain").alias("increase"))
 
 
 def sum_increase(
@@ -183,8 +167,8 @@ def sum_increase(
 ) -> DataFrame:
     """``bucket, by…, increase`` summed over series; ``by=[]`` sums all."""
     by = columns(by)
-    grown = series_increase(df, bucket, _with_labels(series, by), tie)
-    return grown.groupBy("bucket", *by).agg(F.sum("increase").alias("increase"))
+    steps = _steps(df, bucket, _with_labels(series, by), tie)
+    return steps.groupBy("bucket", *by).agg(F.sum("_gain").alias("increase"))
 
 
 def sum_rate(
@@ -211,10 +195,10 @@ def _paired_increase(
     """Summed increases of two metrics side by side, in one pass over the data."""
     both = select_series(df, [left, right])
     labels = _with_labels(_with_labels(series, ["metric"]), by)
-    grown = series_increase(both, bucket, labels, tie)
+    grown = _steps(both, bucket, labels, tie)
 
     def total(metric: str) -> Column:
-        return F.sum(F.when(F.col("metric") == metric, F.col("increase")))
+        return F.sum(F.when(F.col("metric") == metric, F.col("_gain")))
 
     sides = grown.groupBy("bucket", *by).agg(
         total(left).alias("_left"), total(right).alias("_right")
@@ -342,33 +326,57 @@ def binary_op(
     series for one key fail the query. Division by zero gives null.
 
     With ``lookback``, a value also holds in so many buckets after its own that have
-    none of their own; each then has up to that many copies. Buckets in which neither
-    side has a sample have no row.
+    none of their own. Buckets in which neither side has a sample have no row, so there
+    are no more rows than samples, however far one looks back: both sides lie together
+    by key and page of time, the last value goes on inside a page, and what a page ends
+    with is joined to the next one. No key has to be put in order as a whole.
     """
     if op not in OPERATORS:
         raise ValueError(f"unknown operator {op!r}, accepted: {list(OPERATORS)}")
     on = columns(on)
-    left = _held(_instant(a, on, bucket, series, tie), on, bucket, lookback, "_left")
-    right = _held(_instant(b, on, bucket, series, tie), on, bucket, lookback, "_right")
+    left, right = (_instant(side, on, bucket, series, tie) for side in (a, b))
     value = OPERATORS[op](F.col("_left"), F.col("_right"))
-    met = left.join(right, ["bucket", *on])
     if lookback:
-        met = met.filter((F.col("_left_age") == 0) | (F.col("_right_age") == 0))
+        met = _as_of(left, right, on, seconds_of(bucket), lookback)
+    else:
+        met = left.withColumnRenamed("value", "_left").join(right.withColumnRenamed("value", "_right"), ["bucket", *on])
     return met.select("bucket", *on, value.alias("value"))
 
 
-def _held(instant: DataFrame, on: list[str], bucket, lookback: int, name: str) -> DataFrame:
-    """Values by bucket; each also in the ``lookback`` buckets after it, if free."""
-    if not lookback:
-        return instant.withColumnRenamed("value", name)
-    ages = F.explode(F.sequence(F.lit(0), F.lit(lookback)))
-    copies = instant.withColumn("_age", ages).withColumn(
-        "bucket", F.col("bucket") + F.col("_age") * seconds_of(bucket)
-    )
-    youngest = copies.groupBy("bucket", *on).agg(
-        F.min("_age").alias(f"{name}_age"), F.min_by("value", "_age").alias(name)
+#: Buckets in a page of aligned values, unless one looks back further.
+ALIGNED = 1024
+
+
+def _as_of(left: DataFrame, right: DataFrame, on: list[str], seconds: int, lookback: int) -> DataFrame:
+    """``bucket, on…, _left, _right``: the last value of each side, if it is young enough.
+
+    A page is at least as long as the look back, so only the page before can matter.
+    """
+    sides = {"_left": left, "_right": right}
+    nothing = F.lit(None).cast("double")
+    both = [df.select("bucket", *on, *((F.col("value") if n == own else nothing).alias(n) for n in sides)) for own, df in sides.items()]
+    page = floor_div(F.col("bucket"), max(ALIGNED, lookback) * seconds).alias("_page")
+    labelled = reduce(lambda keep, n: keep & F.col(n).isNotNull(), on, F.lit(True))  # a null label matches none
+    rows = (
+        both[0].unionByName(both[1])
+        .filter(labelled)
+        .select("bucket", *on, *sides, page)
+        .repartition(*on, "_page")
+        .groupBy(*on, "_page", "bucket")
+        .agg(*(F.max(n).alias(n) for n in sides))
     )
-    return youngest
+    last = lambda n: F.when(F.col(n).isNotNull(), F.struct("bucket", F.col(n).alias("value")))
+    ends = rows.groupBy(*on, "_page").agg(*(F.max(last(n)).alias(f"{n}_before") for n in sides))
+    before = ends.withColumn("_page", F.col("_page") + 1)
+    so_far = Window.partitionBy(*on, "_page").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    carried = rows.withColumns({f"{n}_held": F.last(last(n), ignorenulls=True).over(so_far) for n in sides})
+    met = carried.join(before, [*on, "_page"], "left")
+    held = {n: F.coalesce(f"{n}_held", f"{n}_before") for n in sides}
+    for n, found in held.items():
+        young = F.col("bucket") - found["bucket"] <= lookback * seconds
+        met = met.withColumn(f"{n}_value", F.when(young, found["value"]))
+    met = met.filter(F.col("_left_value").isNotNull() & F.col("_right_value").isNotNull())
+    return met.select("bucket", *on, F.col("_left_value").alias("_left"), F.col("_right_value").alias("_right"))
 
 
 # --- Distributions ----------------------------------------------------------

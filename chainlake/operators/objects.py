@@ -113,7 +113,6 @@ def rechunk(
 
     first = whole(F.col("offset"), size)
     last = whole(F.col("offset") + length - 1, size)
-    end = F.col("_at") + F.octet_length("_slice")
     slices = (
         located.filter(length > 0)
         .select(*key, F.inline(F.transform(F.sequence(first, last), slice_of)))
@@ -123,12 +122,15 @@ def rechunk(
     joined = [F.expr("listagg(_slice) WITHIN GROUP (ORDER BY _at)").alias("data")]
     data = F.col("data")
     if given:
-        in_part = Window.partitionBy(*key, "part_no").orderBy("_at")
-        due = F.coalesce(F.lag(end).over(in_part), F.col("part_no") * size)
-        slices = slices.withColumn("_joins", F.col("_at") == due)
-        joined.append(F.bool_and("_joins").alias("_seamless"))
+        seam = F.struct("_at", F.octet_length("_slice").cast("long").alias("_length"))
+        joined.append(F.collect_list(seam).alias("_seams"))
+        ends = F.aggregate(
+            F.array_sort("_seams"),
+            F.col("part_no") * size,
+            lambda due, s: F.when(s["_at"] == due, due + s["_length"]).otherwise(-1),
+        )
         name = F.concat_ws(":", *key, "part_no")
         broken = F.raise_error(F.concat(F.lit("gap or overlap in part "), name)).cast("binary")
-        data = F.when(F.col("_seamless"), data).otherwise(broken)
+        data = F.when(ends >= 0, data).otherwise(broken)
     parts = slices.groupBy(*key, "part_no").agg(*joined)
     return parts.select(*key, "part_no", data.alias("data"))
