@@ -105,7 +105,6 @@ def ship(
     left = missing.filter(F.col("size").isNotNull()).select(
         *key, F.col("size").alias("_size")
     )
-    done: DataFrame | None = None
     for attempt in count(1):
         # A written list of known size, so that it is found out only once. One
         # folder per attempt: Spark takes two readings of the same folder in a
@@ -125,12 +124,13 @@ def ship(
         verified = checked.join(todo, key).filter(
             F.col("verified") & (F.col("size") == F.col("_size"))
         )
-        store(verified.select(*key, "etag", "parts", "size"), f"{path}/verified/{attempt}")
-        now = spark.read.parquet(f"{path}/verified/{attempt}").withColumns(
-            {"attempt": F.lit(attempt), "reason": F.lit(None).cast("string")}
-        )
-        done = now if done is None else done.unionByName(now)
-        left = todo.join(now, key, "left_anti")
+        # The first attempt clears what an earlier run left; the folder is read as one
+        # table in the end, so the plan is the same for any number of attempts.
+        kept = verified.select(*key, "etag", "parts", "size", F.lit(attempt).alias("attempt"))
+        kept.write.mode("overwrite" if attempt == 1 else "append").partitionBy("attempt").parquet(f"{path}/verified")
+        done = spark.read.schema(kept.schema).parquet(f"{path}/verified")
+        left = todo.join(done.filter(F.col("attempt") == attempt), key, "left_anti")
+        done = done.withColumn("reason", F.lit(None).cast("string"))
         if left.isEmpty():
             return done
         if attempt == config.max_attempts:

@@ -6,13 +6,13 @@ Common table expressions repeat the views; they are put together as text only.
 from __future__ import annotations
 
 from ..operators.metrics import ACCEPTED_QUANTILES
-from .registry import TAIL, TIME_BOUNDS, VALUE_BOUNDS
+from .registry import LOOKBACK, TAIL, TIME_BOUNDS, VALUE_BOUNDS
 from .views import (
+    BLOCK_LINES,
     BLOCKS_PER_ARCHIVE,
     CHUNK_SIZE,
     OBJECTS_PER_ARCHIVE,
     PART_SIZE,
-    SHARD_BITS,
 )
 
 DAY = 86400
@@ -31,7 +31,7 @@ lines AS (
 TRANSACTIONS = f"""{LINES},
 transactions AS (
   SELECT CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 0 END AS workchain, lines.*,
-         CAST(('0x' || substr(sha256(payload), 1, 1))::INTEGER >> {4 - SHARD_BITS} AS BIGINT) AS shard
+         CAST((row_number() OVER (PARTITION BY seqno ORDER BY sha256(payload), now) - 1) // {BLOCK_LINES} AS BIGINT) AS shard
   FROM lines JOIN orders ON o_orderkey = seqno)"""
 
 RECORDS = f"""{TRANSACTIONS},
@@ -387,6 +387,36 @@ ORACLES: dict[str, str] = {
     # Every sketched value must have a rank within the stated error.
     "quantile_sketch": f"""WITH {SAMPLES}
         SELECT instance, true AS within FROM samples WHERE value IS NOT NULL GROUP BY instance""",
+    "object_scan": PART_DIGESTS,
+    "object_parts_roundtrip": f"WITH {PARTS} SELECT object_id, etag, parts, size FROM etags",
+    "acknowledged_blocks": f"""WITH {RECORDS}, done AS (
+          SELECT count(DISTINCT (workchain, shard, seqno)) AS blocks, count(*) AS acknowledged FROM transactions)
+        SELECT partition, count(*) AS sent, max(event_ms) AS last_event_ms,
+               any_value(blocks) AS blocks, any_value(acknowledged) AS acknowledged
+        FROM records, done GROUP BY partition""",
+    "state_store_latest": """
+        SELECT user_id AS account, max(event_id) AS seqno, arg_max(value, event_id) AS value
+        FROM events GROUP BY user_id""",
+    "state_sum_rate": f"""WITH {increases()}
+        SELECT bucket, metric, job, round(sum(increase) / {DAY}, 9) AS rate
+        FROM increases GROUP BY bucket, metric, job""",
+    "state_percent_ratio": f"""WITH {sided("click", "view", ["instance"])}
+        SELECT bucket, instance, round(l / nullif(r, 0) * 100, 9) AS percent FROM sides""",
+    "vector_match_lookback": f"""WITH {SAMPLES},{instant("a", "click")},{instant("b", "view")},
+        every AS (SELECT bucket, instance, job FROM a UNION SELECT bucket, instance, job FROM b)
+        SELECT e.bucket, e.instance, e.job, round(a.value - b.value, 9) AS value
+        FROM every e
+        ASOF JOIN a ON e.instance = a.instance AND e.job = a.job AND e.bucket >= a.bucket
+        ASOF JOIN b ON e.instance = b.instance AND e.job = b.job AND e.bucket >= b.bucket
+        WHERE e.bucket - a.bucket <= {LOOKBACK * DAY} AND e.bucket - b.bucket <= {LOOKBACK * DAY}""",
+    "quantile_merged": f"""WITH {SAMPLES}
+        SELECT metric, count(*) AS samples, true AS within FROM samples WHERE value IS NOT NULL GROUP BY metric""",
+    "indexed_select": f"""WITH {SAMPLES}
+        SELECT sample_id, metric, instance, job, kind, value FROM samples
+        WHERE metric IN ('click', 'purchase') AND job IN (0, 2)
+          AND regexp_full_match(CAST(kind AS VARCHAR), '[1-4][0-9]')""",
+    "indexed_label_values": f"""WITH {SAMPLES}
+        SELECT DISTINCT kind FROM samples WHERE metric = 'click' AND kind IS NOT NULL""",
     "count_rate": f"""WITH {SAMPLES}
         SELECT {bucket(DAY)} AS bucket, metric, job, count(*) AS observations,
                round(count(*) / {DAY}, 9) AS rate
@@ -394,3 +424,7 @@ ORACLES: dict[str, str] = {
     "label_values": f"""WITH {SAMPLES}
         SELECT DISTINCT kind FROM samples WHERE metric = 'click' AND kind IS NOT NULL""",
 }
+
+ORACLES["stream_merge_sources"] = ORACLES["merge_sources"]
+ORACLES["stream_closed_archives"] = f"""
+    SELECT archive_id, blocks, first_seqno, last_seqno, size FROM ({ORACLES["bundle_archives"]}) WHERE closed"""

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from .. import sinks, sources, streaming
 from ..functions.keys import event_ms
-from ..operators import blocks, catalog, integrity, metrics, objects, state
+from ..operators import blocks, catalog, integrity, metrics, objects, series, sketches, state
 from ..operators.metrics import Matching
 from ..schemas import CHUNK
 from ..session import scratch_dir
@@ -24,6 +24,8 @@ QUERIES: dict[str, Query] = {}
 DAY = "1 day"
 DIGITS = 9  # more than the data can tie at
 TAIL = 50
+LOOKBACK = 3
+SERIES_BUCKETS = 4
 VALUE_BOUNDS = [1, 5, 10, 25, 50, 100, 250]
 TIME_BOUNDS = [1, 2, 5, 9]
 ZSTD_MAGIC = "28B52FFD"
@@ -354,6 +356,40 @@ def ship_committed_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def object_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files, read back by ranges of bytes and cut into parts."""
+    out = scratch_dir(spark, "objects")
+    whole = views.document_bytes(spark, sf_dir).select("object_id", F.lit(0).alias("part_no"), "data")
+    sinks.parts(whole, out)
+    ranges = sources.read_objects(spark, f"{out}/staged", views.CHUNK_SIZE, id_pattern=r"^(\d+)-")
+    return integrity.part_md5(objects.rechunk(ranges, views.PART_SIZE))
+
+
+@query
+def object_parts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags of objects as the store reported them for their parts."""
+    out = scratch_dir(spark, "parts")
+    sinks.parts(objects.rechunk(views.chunks(spark, sf_dir), views.PART_SIZE * 64), out)
+    stored = sinks.read_parts(sinks.committed_parts(spark, out)).withColumnRenamed("part_no", "chunk_no")
+    return flows.expected_etags(stored, views.PART_SIZE)
+
+
+@query
+def acknowledged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks all of whose records were acknowledged, and how many of them the topic holds."""
+    marks, topic = scratch_dir(spark, "marks"), scratch_dir(spark, "topic")
+    flat = blocks.flatten_transactions(views.blocks(spark, sf_dir))
+    records = blocks.route_partition(flat).select(
+        "workchain", "shard", "seqno", blocks.content_key("payload").alias("key"),
+        F.col("payload").alias("value"), "partition", event_ms("now").alias("event_ms"),
+    )
+    sinks.acknowledged(records, marks, "chainlake.sinks.acknowledged:FolderTransport", {"topic": topic}).save()
+    sent = spark.read.parquet(topic).groupBy("partition").agg(F.count(F.lit(1)).alias("sent"), F.max("event_ms").alias("last_event_ms"))
+    done = sinks.done_blocks(spark, marks).agg(F.count(F.lit(1)).alias("blocks"), F.sum("records").alias("acknowledged"))
+    return sent.join(F.broadcast(done))
+
+
 @query
 def archive_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _document_archives(spark, sf_dir)
@@ -401,6 +437,36 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.read_state(spark, out)
 
 
+@query
+def state_store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest state of each account, read from the state store itself."""
+    checkpoint = scratch_dir(spark, "checkpoint")
+    changes = views.as_accounts(streamed(spark, sf_dir, "events"))
+    streaming.follow_state_store(changes, checkpoint).awaitTermination()
+    return streaming.read_state_store(spark, checkpoint)
+
+
+@query
+def stream_closed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of a stream of blocks, emitted as they close."""
+    out = scratch_dir(spark, "closed")
+    stream = streamed(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seqno"), F.floor("o_totalprice").alias("bytes"))
+    streaming.follow_closed_archives(
+        stream, out, scratch_dir(spark, "checkpoint"), views.BLOCKS_PER_ARCHIVE, "bytes"
+    ).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query
+def stream_merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams of blocks in order of priority: what was taken and what still waits."""
+    out, checkpoint = scratch_dir(spark, "merged"), scratch_dir(spark, "checkpoint")
+    streams = views.source_rows(streamed(spark, sf_dir, "orders"))
+    streaming.follow_merged(streams, out, checkpoint, time="at", wait="1 day").awaitTermination()
+    taken = spark.read.parquet(out).select("seqno", "priority", "payload")
+    return taken.unionByName(streaming.read_waiting(spark, checkpoint).select("seqno", "priority", "payload"))
+
+
 @query
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "snapshots")
@@ -481,6 +547,27 @@ def stream_sum_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rates, "rate")
 
 
+def _rates_in_state(spark: SparkSession, sf_dir: str) -> str:
+    out = scratch_dir(spark, "rates")
+    samples = views.as_samples(streamed(spark, sf_dir, "events"))
+    streaming.follow_rates(
+        samples, out, scratch_dir(spark, "checkpoint"), DAY, tie="sample_id"
+    ).awaitTermination()
+    return out
+
+
+@query
+def state_sum_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _rates_in_state(spark, sf_dir)
+    return rounded(streaming.read_rates(spark, out, ["metric", "job"], DAY), "rate")
+
+
+@query
+def state_percent_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _rates_in_state(spark, sf_dir)
+    return rounded(streaming.read_percent(spark, out, "click", "view"), "percent")
+
+
 @query
 def stream_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "heatmap")
@@ -538,6 +625,20 @@ def vector_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(lag, "value")
 
 
+@query
+def vector_match_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = views.samples(spark, sf_dir)
+    lag = metrics.binary_op(
+        metrics.select_series(samples, "click"),
+        metrics.select_series(samples, "view"),
+        "-",
+        bucket=DAY,
+        tie="sample_id",
+        lookback=LOOKBACK,
+    )
+    return rounded(lag, "value")
+
+
 @query
 def latest_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = metrics.latest(views.samples(spark, sf_dir), tie="sample_id")
@@ -615,6 +716,40 @@ def quantile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.agg(((below - error <= rank) & (rank <= upto + error)).alias("within"))
 
 
+@query
+def quantile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether quantiles of merged sketches have a rank within the stated bound."""
+    samples = views.samples(spark, sf_dir).filter(F.col("value").isNotNull())
+    daily = sketches.merge(sketches.sketch(samples, DAY), ["bucket", "metric", "job"])
+    found = sketches.quantile(daily, "0.9", "metric").withColumnRenamed("value", "found")
+    total = F.count(F.lit(1))
+    error, rank = 3 * sketches.rank_error() * total + 1, 0.9 * total
+    below, upto = F.count_if(F.col("value") < F.col("found")), F.count_if(F.col("value") <= F.col("found"))
+    ranks = samples.join(found, "metric").groupBy("metric")
+    return ranks.agg(total.alias("samples"), ((below - error <= rank) & (rank <= upto + error)).alias("within"))
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> str:
+    """Samples and their index, in two batches."""
+    out = scratch_dir(spark, "series")
+    samples = views.samples(spark, sf_dir)
+    for batch in range(2):
+        series.add_samples(samples.filter(F.pmod("sample_id", F.lit(2)) == batch), out, batch, buckets=SERIES_BUCKETS)
+    return out
+
+
+@query
+def indexed_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matchers = {"job": [0, 2], "kind": Matching("[1-4][0-9]"), "instance": Matching(".*")}
+    chosen = series.select_indexed(spark, _indexed(spark, sf_dir), ["click", "purchase"], matchers)
+    return chosen.select("sample_id", "metric", "instance", "job", "kind", "value")
+
+
+@query
+def indexed_label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.indexed_label_values(spark, _indexed(spark, sf_dir), "click", "kind")
+
+
 @query
 def count_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = views.samples(spark, sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.tags import EMPTY_ETAG, quoted_etag
@@ -15,8 +15,11 @@ PART_SIZE = 1024
 BLOCKS_PER_ARCHIVE = 1000
 OBJECTS_PER_ARCHIVE = 100
 
-#: Bits of the payload's digest that name the shard.
-SHARD_BITS = 2
+#: Lines of a block at most.
+BLOCK_LINES = 8
+
+#: Hexadecimal digits of the payload's digest that lines of a large order are dealt by.
+SLICE_DIGITS = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,21 +44,46 @@ def address(part: Column | str) -> Column:
     return F.unhex(F.sha2(part.cast("string").cast("binary"), 256))
 
 
-def shard() -> Column:
-    """Shard of a line: the leading bits of its payload's SHA-256."""
-    digit = F.conv(F.substring(F.sha2("payload", 256), 1, 1), 16, 10).cast("long")
-    return F.shiftright(digit, 4 - SHARD_BITS)
-
-
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line: ``seqno, part, lt, now, payload, shard``."""
+    """One row per line: ``seqno, part, lt, now, payload``."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("seqno"),
         F.col("l_partkey").alias("part"),
         F.col("l_linenumber").cast("long").alias("lt"),
         F.unix_seconds(utc_timestamp("l_shipdate")).alias("now"),
         payload().alias("payload"),
-    ).withColumn("shard", shard())
+    )
+
+
+def in_shards(lines: DataFrame, most: int = BLOCK_LINES) -> DataFrame:
+    """Add ``shard``: the rank of a line in its order by the payload's digest and the time, over ``most``.
+
+    So no block has more than ``most`` lines, whatever the size of an order, and content
+    alone decides, up to which of equal lines is which. An order of no more lines has one
+    block and needs no rank. In a larger one ranks are counted in two levels, inside
+    slices of equal leading digits and over the slices, of which there is a fixed number: no
+    order is put in order by one task.
+    """
+    sizes = lines.groupBy("seqno").agg(F.count(F.lit(1)).alias("_size"))
+    small, large = sizes.filter(F.col("_size") <= most), sizes.filter(F.col("_size") > most)
+    whole = lines.join(small.select("seqno"), "seqno", "left_semi").withColumn("shard", F.lit(0).cast("long"))
+    digest = F.sha2("payload", 256)
+    sliced = (
+        lines.join(large.select("seqno"), "seqno", "left_semi")
+        .withColumns({"_digest": digest, "_slice": F.substring(digest, 1, SLICE_DIGITS)})
+        .repartition("seqno", "_slice")
+    )
+    inside = Window.partitionBy("seqno", "_slice").orderBy("_digest", "now")
+    before = Window.partitionBy("seqno").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (
+        sliced.groupBy("seqno", "_slice")
+        .agg(F.count(F.lit(1)).alias("_lines"))
+        .select("seqno", "_slice", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_base"))
+    )
+    rank = F.col("_base") + F.row_number().over(inside) - 1
+    ranked = sliced.join(bases, ["seqno", "_slice"]).withColumn("_rank", rank)
+    split = ranked.withColumn("shard", F.floor(F.col("_rank") / most).cast("long"))
+    return whole.unionByName(split.select(*whole.columns))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,19 +102,18 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested blocks: one per order and shard that has lines.
-
-    A line's own content names its shard, whatever the size of its order, so a
-    repeated task and the SQL check come to the same blocks.
-    """
+    """Nested blocks: one per order and shard that has lines."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("seqno"), workchain().alias("workchain")
     )
+    return nested(in_shards(part_lines(spark, sf_dir)).join(orders, "seqno"))
+
+
+def nested(rows: DataFrame) -> DataFrame:
+    """Blocks of flat lines with their ``workchain, shard, seqno``."""
     block = ["workchain", "shard", "seqno"]
     return (
-        part_lines(spark, sf_dir)
-        .join(orders, "seqno")
-        .repartition(*block)
+        rows.repartition(*block)
         .groupBy(*block, "part")
         .agg(F.collect_list(F.struct("lt", "now", "payload")).alias("transactions"))
         .withColumn("addr", address("part"))
@@ -95,13 +122,12 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Overlapping block sources by priority: archive, live network, local."""
-    orders = table(spark, sf_dir, "orders")
+def source_rows(orders: DataFrame) -> list[DataFrame]:
+    """Overlapping block sources by priority with the time of a block: archive, live network, local."""
 
     def source(name: str, rows: DataFrame) -> DataFrame:
         text = F.concat_ws("|", F.lit(name), "o_orderstatus", "o_orderpriority")
-        return rows.select(F.col("o_orderkey").alias("seqno"), text.alias("payload"))
+        return rows.select(F.col("o_orderkey").alias("seqno"), utc_timestamp("o_orderdate").alias("at"), text.alias("payload"))
 
     return [
         source("archive", orders.filter(F.col("o_orderstatus") == "F")),
@@ -110,6 +136,10 @@ def sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
+def sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [df.drop("at") for df in source_rows(table(spark, sf_dir, "orders"))]
+
+
 def document_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("object_id"), F.encode("text", "utf-8").alias("data"), "lang"

@@ -143,7 +143,23 @@ def test_an_order_with_a_third_of_all_lines_is_spread_over_shards(spark, folder)
     blocks = QUERIES["block_source"](spark, sf_dir).where("seqno = 1").collect()
     total = sum(r.transactions for r in blocks)
     assert total > lines.count() / 4
-    assert len(blocks) == 4 and max(r.transactions for r in blocks) < 0.3 * total
+    assert max(r.transactions for r in blocks) == views.BLOCK_LINES
+    assert len(blocks) == -(-total // views.BLOCK_LINES)
+
+
+def test_blocks_of_a_hot_order_are_bounded_at_every_size(spark):
+    """Two million lines of one order, a third of them equal, in blocks of ten thousand."""
+    lines = spark.range(3_000_000).select(
+        F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id")).alias("seqno"),
+        F.lit(7).cast("long").alias("part"),
+        F.col("id").alias("lt"),
+        F.lit(0).cast("long").alias("now"),
+        F.encode(F.when(F.col("id") % 3 == 1, F.col("id").cast("string")).otherwise("same"), "utf-8").alias("payload"),
+    )
+    sizes = views.in_shards(lines, 10_000).groupBy("seqno", "shard").count()
+    hot = sizes.where("seqno = 1").collect()
+    assert sorted(r.shard for r in hot) == list(range(200)) and {r["count"] for r in hot} == {10_000}
+    assert sizes.where("seqno <> 1 and (shard <> 0 or count <> 1)").isEmpty()
 
 
 def test_no_plan_holds_a_cross_join(spark):
