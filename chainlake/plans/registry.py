@@ -386,8 +386,9 @@ def acknowledged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sinks.acknowledged(records, marks, "chainlake.sinks.acknowledged:FolderTransport", {"topic": topic}).save()
     sent = spark.read.parquet(topic).groupBy("partition").agg(F.count(F.lit(1)).alias("sent"), F.max("event_ms").alias("last_event_ms"))
-    done = sinks.done_blocks(spark, marks).agg(F.count(F.lit(1)).alias("blocks"), F.sum("records").alias("acknowledged"))
-    return sent.join(F.broadcast(done))
+    done = sinks.done_blocks(spark, marks)
+    blocks_done, acknowledged = done.agg(F.count(F.lit(1))), done.agg(F.sum("records"))
+    return sent.withColumns({"blocks": blocks_done.scalar(), "acknowledged": acknowledged.scalar()})
 
 
 @query
