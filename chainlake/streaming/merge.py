@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from ..functions.times import seconds_of
 from ..operators.common import columns
+from ..session import rocksdb_state
 from ..sinks.files import append_batch
 
 
@@ -102,7 +103,8 @@ def follow_merged(
     taken = merged.transformWithState(processor, held, "append", "eventTime").drop("ms__")
     writer = taken.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(lambda batch, number: append_batch(batch, path, number))
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    with rocksdb_state(union.sparkSession):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def read_waiting(spark: SparkSession, checkpoint: str) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..functions.times import seconds_of
 from ..operators.common import columns
 from ..operators.metrics import RATE_INTERVAL, SERIES
+from ..session import rocksdb_state
 from ..sinks.files import append_batch
 
 SAMPLE = np.dtype([("ts", "<i8"), ("tie", "<i8"), ("value", "<f8")])
@@ -136,7 +137,8 @@ def follow_rates(
     changes = rows.groupBy(*labels).transformWithState(SeriesSteps(out.names, seconds, open_buckets), out, "update", "none")
     writer = changes.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(lambda batch, number: append_batch(batch, path, number))
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    with rocksdb_state(samples.sparkSession):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def _grown(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
