@@ -16,6 +16,9 @@ from chainlake.llm.common import settle, table
 #: Documents that score this or more are toxic.
 TOXIC = 0.7
 
+#: Words of the least passage that is removed where it repeats: passages of over 50 words.
+PASSAGE = 51
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject; labels of all ``documents`` train it.
@@ -37,12 +40,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the byte strings that occur twice.
+    """Documents without the byte strings and the passages of over 50 words that occur twice.
 
     Characters cut in two at an end of a string are dropped. ``n_chars`` follows the
     text. A document of which nothing stays has an empty text.
     """
-    found = suffix.remove_repeats(docs)
+    found = suffix.remove_repeats(docs, words=PASSAGE)
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("text")).otherwise(F.col("row.text"))
     row = F.col("row").withField("text", text)

@@ -99,6 +99,43 @@ def test_suffix_against_brute_force(documents, length):
     assert got == [(i, *row) for i, row in enumerate(kept_bytes(texts, length))]
 
 
+def kept_passages(texts, window, length=400):
+    """What stays without bytes of strings that repeat, and words of windows that do."""
+    found = [[(m.start(), m.end(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in texts]
+    windows = [[tuple(w for *_, w in f[i : i + window]) for i in range(len(f) - window + 1)] for f in found]
+    counts = Counter(w for doc in windows for w in doc)
+    raw = [(t or "").encode() for t in texts]
+    strings = Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
+    out = []
+    for b, words, own in zip(raw, found, windows):
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if strings[b[i : i + length]] > 1:
+                gone[i : i + length] = True
+        for i, w in enumerate(own):
+            if counts[w] > 1:
+                gone[words[i][0] : words[i + window][0] if i + window < len(words) else len(b)] = True
+        out.append(np.frombuffer(b, np.uint8)[~gone].tobytes())
+    return out
+
+
+@pytest.mark.parametrize(("words", "length"), [(51, 400), (12, 60), (7, 10**6)])
+def test_suffix_of_words_against_brute_force(documents, words, length):
+    texts = passages(5) + [t.replace(" ", "\n\t") for t in passages(5, 4)] + ["é " * 90, "a  b\n" * 80, "w1 " * 52 + "x", None, "", "  "]
+    rows = suffix.remove_repeats(documents(enumerate(texts)), length, words=words)
+    got = {r.row.doc_id: (bytes(r.kept), r.n_removed, sum(b - a for a, b in r.spans)) for r in rows.collect()}
+    raw = [(t or "").encode() for t in texts]
+    want = {i: (kept, len(b) - len(kept), len(b) - len(kept)) for i, (b, kept) in enumerate(zip(raw, kept_passages(texts, words, length)))}
+    assert got == want
+
+
+def test_suffix_of_words_takes_odd_rows(documents, odd_documents):
+    rows = suffix.remove_repeats(odd_documents, 10**6, words=2).collect()
+    assert len(rows) == len(ODD_TEXTS) + 3
+    assert {bytes(r.kept) for r in rows if r.row.text == "same text"} == {b""}
+    assert suffix.remove_repeats(documents([]), words=2).collect() == []
+
+
 def test_suffix_takes_odd_rows(documents, odd_documents):
     rows = suffix.remove_repeats(odd_documents, 9).collect()
     assert len(rows) == len(ODD_TEXTS) + 3

@@ -93,6 +93,18 @@ def test_stages_take_odd_and_empty_tables(spark, documents, odd_documents, store
         assert corpus_pipeline.run(spark, sf_dir).count() >= least
 
 
+def test_passages_of_over_50_words_go(spark, documents):
+    """Passages of 51 words go wherever they repeat, though they have fewer than 400 bytes."""
+    passage, fewer = clean(900, 51), clean(901, 50)
+    assert len(passage) < 400
+    begin, end = [clean(i, 30) for i in range(5)], [clean(20 + i, 30) for i in range(5)]
+    shared = [passage, passage.replace(" ", "\n"), fewer, fewer, clean(902, 60)]
+    docs = documents((i, f"{a} {p} {b}") for i, (a, p, b) in enumerate(zip(begin, shared, end)))
+    rows = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_repeated_strings(spark, docs, "").collect()}
+    left = [f"{a} {b}" if i < 2 else f"{a} {p} {b}" for i, (a, p, b) in enumerate(zip(begin, shared, end))]
+    assert rows == {i: (t, len(t)) for i, t in enumerate(left)}
+
+
 def test_n_chars_follows_the_text(spark, documents, stored):
     text = "é" * 500
     docs = documents([(1, text + "a"), (2, "b" + text), (3, "short")])
