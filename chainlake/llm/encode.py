@@ -28,12 +28,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import MEMORIES
+from .common import MEMORIES, release
 
 #: Pieces a worker remembers; about 200 bytes each.
 LIMIT = 700_000
 #: Pieces in one library call.
 TOGETHER = 512
+#: New pieces after which freed memory goes back to the system.
+TRIM = 5_000
 
 INNER = re.compile(r" (?=\S)")
 #: Stands between the pieces of one call.
@@ -185,11 +187,9 @@ class PieceEncoder:
         alone = {p for p in pieces if len(p) > 1_000 or " " in p or MARK in p or not p}
         many = list(pieces - alone)
         groups = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
-        if self.cut == "bytes":
-            texts = [" " + " ".join(group) for group in groups]
-        else:
-            texts = [f"{MARK} " + f" {MARK} ".join(group) for group in groups]
-        for group, ids in zip(groups, self.ids(texts)):
+        before, between = (" ", " ") if self.cut == "bytes" else (f"{MARK} ", f" {MARK} ")
+        for group in groups:  # what the library returns is far larger than the ids: one at a time
+            ids = self.ids([before + between.join(group)])[0]
             begins = np.flatnonzero(self.opens[ids])
             if len(begins) != len(group):
                 alone.update(group)
@@ -198,6 +198,8 @@ class PieceEncoder:
             self.known.add(group, [ids[a:b] for a, b in zip(after, [*begins[1:], len(ids)])])
         rest = list(alone)
         self.known.add(rest, self.ids([self.spelled(p) for p in rest]))
+        if len(many) > TRIM:
+            release()
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from chainlake.llm import packing, queries, token_files
-from chainlake.llm.encode import PieceEncoder, tokenizer_path
+from chainlake.llm.encode import TOGETHER, PieceEncoder, tokenizer_path
 
 from .conftest import ODD_TEXTS
 
@@ -161,3 +161,14 @@ def test_an_index_of_other_payload_is_an_error(spark, documents):
     wrong = manifest.withColumn("tokens", manifest.tokens + 1)
     with pytest.raises(Exception, match="belong together"):
         token_files.read_token_files(wrong).collect()
+
+
+@pytest.mark.parametrize(("path", "cut"), [(WORDS, "words"), (BYTES, "bytes")])
+def test_new_pieces_go_to_the_library_by_groups(path, cut):
+    """What one call returns stays small, however many pieces are new."""
+    tokens, calls = PieceEncoder(path, cut), []
+    library = tokens.ids
+    tokens.ids = lambda texts: calls.append(sum(len(t.split()) for t in texts)) or library(texts)
+    text = " ".join(f"w{i}" for i in range(4 * TOGETHER))
+    assert tokens.encode([text]) == [library([text])[0].tobytes()]
+    assert max(calls) <= 2 * TOGETHER + 2  # each piece and its mark
