@@ -13,7 +13,8 @@ distinct pieces; a worker keeps the ids of pieces it has seen in one array and h
 only new ones to the library, many to a call, so nothing is done piece by piece but the look
 for each distinct one. What parts the pieces of a call in the result: the first byte
 of a piece is a blank for ``bytes``, and no other byte is; for ``words`` a control character
-stands between them as a word. The memory of pieces is emptied once it holds ``LIMIT``.
+stands between them as a word. Once the memory holds ``LIMIT`` pieces, the half of them that
+fewest batches used is forgotten.
 
 A text that holds the string of a special token, such as ``<|endoftext|>``, goes to the
 library whole, which takes such a string for one id; with ``special_as_text`` for text.
@@ -23,12 +24,13 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import MEMORIES, release
+from .common import MEMORIES, release, utf8
 
 #: Pieces a worker remembers; about 200 bytes each.
 LIMIT = 700_000
@@ -77,19 +79,24 @@ class Grown:
 
 
 class Memory:
-    """Pieces by name, and where the ids of each lie in one array."""
+    """Pieces by name, where the ids of each lie in one array, and how many batches used it."""
 
     def __init__(self):
         self.number: dict[str, int] = {}
         self.starts, self.lengths, self.ids = Grown(np.int64), Grown(np.int64), Grown(np.uint32)
+        self.used = Grown(np.int32)
 
-    def add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
-        if pieces:
-            lengths = np.array([len(x) for x in ids])
-            self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
-            self.lengths.extend(lengths)
-            self.ids.extend(np.concatenate(ids))
-            self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
+    def add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """New pieces, whose ``ids`` lie end to end."""
+        self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
+        self.lengths.extend(lengths)
+        self.ids.extend(ids)
+        self.used.extend(np.zeros(len(pieces), np.int32))
+        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
+
+    def find(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece, -1 for those that aren't there."""
+        return np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
 
     def joined(self, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The ids of the pieces, end to end; of some with ``lengths`` zero nothing."""
@@ -98,6 +105,15 @@ class Memory:
         at += np.arange(len(at))
         return self.ids.array[at]
 
+    def most_used(self, n: int) -> Memory:
+        """A memory of the ``n`` pieces that most batches used, the later ones of equals."""
+        order = np.argsort(self.used.array[: self.used.size], kind="stable")
+        kept = np.sort(order[max(0, len(order) - n) :])
+        names, lengths, memory = list(self.number), self.lengths.array[kept], Memory()
+        memory.add([names[i] for i in kept.tolist()], self.joined(kept, lengths), lengths)
+        memory.used.array[: len(kept)] = self.used.array[kept] // 2  # what was frequent long ago goes, too
+        return memory
+
 
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
@@ -129,14 +145,15 @@ class PieceEncoder:
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has; null texts have none."""
         if len(self.known.number) > LIMIT:
-            self.known = Memory()
+            self.known = self.known.most_used(LIMIT // 2)
         texts = texts.fill_null("")
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " ") if self.cut == "words" else texts, " ")
         counts = lists.value_lengths().to_numpy().astype(np.int64)
         row = np.repeat(np.arange(len(texts)), counts)
         firsts = np.cumsum(counts) - counts
         coded = lists.flatten().dictionary_encode()
-        piece, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        piece = coded.indices.to_numpy().astype(np.int64)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
         odd = np.zeros(len(texts), bool)
         if self.special:
             odd |= pc.match_substring_regex(texts, self.special, ignore_case=True).to_numpy(zero_copy_only=False)
@@ -145,16 +162,15 @@ class PieceEncoder:
             heads = [" " + distinct[p] for p in piece[firsts]]
             number = {h: i for i, h in enumerate(dict.fromkeys(heads), len(distinct))}
             piece[firsts] = [number[h] for h in heads]
+            unsafe = opens_odd(coded.dictionary, distinct)
             distinct += number
-            unsafe = [i for i, p in enumerate(distinct) if not p or p[0] != " " and p[0].isspace()]
             if unsafe:
                 wrong = np.zeros(len(distinct), bool)
                 wrong[unsafe] = True
                 odd[row[wrong[piece]]] = True
                 for i in unsafe:
                     distinct[i] = " "  # encoded as nothing; the texts are done below
-        self.learn(set(distinct).difference(self.known.number))
-        numbers = np.fromiter(map(self.known.number.__getitem__, distinct), np.int64, len(distinct))[piece]
+        numbers = self.numbers(distinct)[piece]
         lengths = self.known.lengths.array[numbers]
         lengths[odd[row]] = 0
         ids = self.known.joined(numbers, lengths)
@@ -173,8 +189,7 @@ class PieceEncoder:
             return self.ids([text])[0]
         first, *pieces = INNER.split(text)
         pieces = [" " + first, *pieces]
-        self.learn(set(pieces).difference(self.known.number))
-        numbers = np.array([self.known.number[p] for p in pieces])
+        numbers = self.numbers(pieces)
         return self.known.joined(numbers, self.known.lengths.array[numbers])
 
     def spelled(self, piece: str) -> str:
@@ -183,21 +198,36 @@ class PieceEncoder:
             return piece
         return piece[1:] if piece.startswith(" ") else " " + piece
 
-    def learn(self, pieces: set[str]) -> None:
-        alone = {p for p in pieces if len(p) > 1_000 or " " in p or MARK in p or not p}
-        many = list(pieces - alone)
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece; new ones are learnt."""
+        found = self.known.find(pieces)
+        new = np.flatnonzero(found < 0).tolist()
+        if new:
+            self.learn(list(dict.fromkeys(pieces[i] for i in new)))
+            found[new] = self.known.find([pieces[i] for i in new])
+        self.known.used.array[found] += 1
+        return found
+
+    def learn(self, pieces: list[str]) -> None:
+        many, alone = [], []
+        for p in pieces:
+            (alone if len(p) > 1_000 or " " in p or MARK in p or not p else many).append(p)
         groups = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
         before, between = (" ", " ") if self.cut == "bytes" else (f"{MARK} ", f" {MARK} ")
         for group in groups:  # what the library returns is far larger than the ids: one at a time
             ids = self.ids([before + between.join(group)])[0]
-            begins = np.flatnonzero(self.opens[ids])
+            opens = self.opens[ids]
+            begins = np.flatnonzero(opens)
             if len(begins) != len(group):
-                alone.update(group)
+                alone += group
                 continue
-            after = begins + (self.cut == "words")
-            self.known.add(group, [ids[a:b] for a, b in zip(after, [*begins[1:], len(ids)])])
-        rest = list(alone)
-        self.known.add(rest, self.ids([self.spelled(p) for p in rest]))
+            lengths = np.diff(begins, append=len(ids))
+            if self.cut == "words":
+                ids, lengths = ids[~opens], lengths - 1
+            self.known.add(group, ids, lengths)
+        if alone:
+            ids = self.ids([self.spelled(p) for p in alone])
+            self.known.add(alone, np.concatenate(ids), np.array([len(x) for x in ids]))
         if len(many) > TRIM:
             release()
 
@@ -208,6 +238,15 @@ class PieceEncoder:
         return [np.array(f.ids, "<u4") for f in found]
 
 
+def opens_odd(pieces: pa.Array, names: list[str]) -> list[int]:
+    """Which pieces are empty or begin with white space other than a blank; ``names`` are the same."""
+    raw, offsets = utf8(pieces)
+    odd = np.diff(offsets) == 0
+    first = raw[offsets[:-1][~odd]]
+    odd[~odd] = (first < 0x20) | (first >= 0x80)  # the few that are looked at one by one
+    return [i for i in np.flatnonzero(odd).tolist() if not names[i] or names[i][0].isspace()]
+
+
 def closed(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """``ids`` with an end id behind each text."""
     lengths = lengths + 1

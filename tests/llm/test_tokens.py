@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from chainlake.llm import packing, queries, token_files
+from chainlake.llm import encode, packing, queries, token_files
 from chainlake.llm.encode import TOGETHER, PieceEncoder, tokenizer_path
 
 from .conftest import ODD_TEXTS
@@ -172,3 +172,28 @@ def test_new_pieces_go_to_the_library_by_groups(path, cut):
     text = " ".join(f"w{i}" for i in range(4 * TOGETHER))
     assert tokens.encode([text]) == [library([text])[0].tobytes()]
     assert max(calls) <= 2 * TOGETHER + 2  # each piece and its mark
+
+
+@pytest.mark.parametrize(("path", "cut"), [(WORDS, "words"), (BYTES, "bytes")])
+def test_a_full_memory_keeps_the_pieces_in_use(path, cut, plain, monkeypatch):
+    """Pieces of every batch are encoded once, though others fill the memory again and again."""
+    monkeypatch.setattr(encode, "LIMIT", 600)
+    tokens, given = PieceEncoder(path, cut), []
+    library = tokens.ids
+    tokens.ids = lambda texts: given.extend(w for t in texts for w in t.split()) or library(texts)
+    common = [f"common{i}," for i in range(50)]
+    for batch in range(16):
+        texts = [" ".join(["a", *common]), " ".join(["a", *(f"rare{batch}x{i}é" for i in range(150))]), "", "\n\n x  odd, "]
+        got = [np.frombuffer(x, "<u4").tolist() for x in tokens.encode(texts)]
+        assert got == [plain(path, t) for t in texts]
+        assert len(tokens.known.number) <= 600 + 210
+    assert {w: given.count(w) for w in common} == dict.fromkeys(common, 1)
+    assert given.count("odd,") <= 2  # with and without the blank behind it
+    assert max(given.count(f"rare{b}x{i}é") for b in range(16) for i in range(150)) == 1
+
+
+@pytest.mark.parametrize("space", ["\n", "\t", "\x1c", "\x85", " ", "　", " "])
+def test_white_space_of_every_kind_after_a_blank(plain, space):
+    texts = [f"a {space}b  {space} c", f"{space}a", f" {space}{space} é{space}", f"é {space}"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in PieceEncoder(BYTES, "bytes").encode(texts)]
+    assert got == [plain(BYTES, t) for t in texts]
