@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from .common import MEMORIES, release, utf8
 
 #: Pieces a worker remembers; about 200 bytes each.
-LIMIT = 700_000
+LIMIT = 300_000
 #: Pieces in one library call.
 TOGETHER = 512
 #: New pieces after which freed memory goes back to the system.
