@@ -166,6 +166,7 @@ def follow_merged(
     rows = late.select("priority", F.coalesce(F.unix_millis("at__"), F.lit(0)).alias("ms__"), *(f"`{n}`" for n in rest), "at__")
     ledger = Ledger(checkpoint, key, [union.schema[n] for n in rest])
     # An aggregate of no rows: with it Spark runs a batch without rows when the watermark has moved.
+    # It reads the sources' times a second time, and nothing else of them.
     none = late.filter(F.col("at__") < F.timestamp_micros(F.lit(-(2**62)))).groupBy("at__").agg(F.count(F.lit(1)).alias("n__"))
 
     def write(batch: DataFrame, number: int) -> None:
